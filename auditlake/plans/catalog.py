@@ -1,0 +1,36 @@
+"""All queries of the core, with the SQL each is compared with."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from auditlake.runtime import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(query: Query) -> Query:
+        _QUERIES[name] = query
+        if sql:
+            _SQL[name] = sql
+        return query
+
+    return keep
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "findings").groupBy("severity").agg(F.count("*").alias("n"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
