@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm import canon, leaks, lookalikes, overlap, split, survivors, tokens
+from auditlake.llm import canon, leaks, lookalikes, markup, overlap, pages, split, survivors, tokens
 from auditlake.runtime import table
 
 REPORT_LIMIT, FINDING_LIMIT = 30_000, 2_400
 CANON_FIELDS = ("severity", "difficulty", "type")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    _, found = pages.scan_findings(table(spark, d, "report"))
+    return found.where("kind in ('furniture', 'hyphen', 'misread')").select("doc_id", "field_name", "line_no", "kind").distinct()
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return pages.repaired(table(spark, d, "report"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     entries = table(spark, d, "canon_values")
     mapped = canon.map_fields(table(spark, d, "findings"), "scvd_id", CANON_FIELDS, entries)
@@ -43,6 +52,24 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_pieces(spark, d).where("piece_no = 2").select("item_kind", "item_key").distinct()
 
 
+def _marked_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(item_key, field_name, text) of the three fields, redelivered rows once."""
+    fields = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("description_md", "poc_md")])
+    findings = table(spark, d, "findings").select(F.col("scvd_id").alias("item_key"), F.inline(fields))
+    reports = table(spark, d, "report").select(F.col("doc_id").alias("item_key"), F.lit("markdown").alias("field_name"), F.col("markdown").alias("text"))
+    return findings.unionByName(reports).where("text is not null")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    cleaned = markup.clean_texts(_marked_texts(spark, d), "text").select("item_key", "field_name", F.explode("markups").alias("markup"))
+    return cleaned.distinct()
+
+
+def p4_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The clean texts, one row for each item and field (of redelivered rows one)."""
+    return markup.clean_texts(_marked_texts(spark, d), "text").select("item_key", "field_name", "clean").distinct()
+
+
 def _finding_texts(spark: SparkSession, d: str) -> tuple[DataFrame, object]:
     return table(spark, d, "findings").where("description_md is not null"), overlap.text_of("title", "description_md", "recommendation_md")
 
@@ -86,7 +113,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (p2_found, p2_unmatched, p3_found, p3_pieces, p5_found, p6_found, p6_records, p7_ids, p8_found, p8_cleaned, p9_found)
+    named = (
+        p1_found, p1_repaired, p2_found, p2_unmatched, p3_found, p3_pieces, p4_found, p4_clean, p5_found, p6_found, p6_records, p7_ids,
+        p8_found, p8_cleaned, p9_found,
+    )
     return {f.__name__: f for f in named}
 
 
