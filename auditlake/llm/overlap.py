@@ -28,8 +28,9 @@ SKETCH_BITS = 20
 SLICES = 16
 #: Postings for one shard; a task holds one shard at a time.
 SHARD_POSTINGS = 1_000_000
-#: 64-bit words of the parity bitmap.
-BITMAP = 8
+#: A set's parity bitmap has 256 bits up to the first of these sizes, twice as many up to each next one; it then
+#: tells apart almost all sets without a link. Larger bitmaps fold to smaller ones, so any two can be compared.
+BITMAP_SIZES = (170, 340, 680)
 #: Pairs looked at in one vector operation.
 CHUNK = 1 << 20
 #: Classes whose ids are sent to every task (8 bytes each); above it they are joined by shuffle.
@@ -133,17 +134,52 @@ def frequency_sketch(texts: DataFrame, run: int, bits: int) -> tuple[np.ndarray,
     return np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8), int(total.sum())
 
 
+def parities(hashes: np.ndarray, place: np.ndarray, n: int) -> list[np.ndarray]:
+    """Parity bitmaps of n sets by level: the largest first counted, the others folded from it."""
+    words = 4 << len(BITMAP_SIZES)
+    bit = (hashes >> np.uint64(40)) & np.uint64(64 * words - 1)
+    bitmap = np.zeros((n, words), np.uint64)
+    np.bitwise_xor.at(bitmap, (place, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return folded(bitmap)
+
+
+def folded(bitmap: np.ndarray) -> list[np.ndarray]:
+    """A bitmap with all smaller ones, the smallest (four words) first."""
+    out = [bitmap]
+    while out[0].shape[1] > 4:
+        half = out[0].shape[1] // 2
+        out.insert(0, out[0][:, :half] ^ out[0][:, half:])
+    return out
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(ids, sizes, levels, bitmaps of all levels) of a blob's sets; a set has none above its own level."""
+    levels = len(BITMAP_SIZES) + 1
+    counts = np.frombuffer(blob, "<u4", levels).astype(np.int64)
+    n, at = int(counts.sum()), 4 * levels
+    ids, sizes = np.frombuffer(blob, "<u8", n, at), np.frombuffer(blob, "<u4", n, at + 8 * n)
+    at += 12 * n
+    bitmaps = [np.zeros((n, 4 << k), np.uint64) for k in range(levels)]
+    first = 0
+    for k, c in enumerate(counts):
+        own = np.frombuffer(blob, "<u8", int(c) * (4 << k), at).reshape(-1, 4 << k)
+        for j, part in enumerate(folded(own)):
+            bitmaps[j][first : first + c] = part
+        at, first = at + own.nbytes, first + int(c)
+    return ids, sizes, np.repeat(np.arange(levels), counts), bitmaps
+
+
 def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFrame:
     """(shard, sets, runs): per batch and shard, the sets with short lists there and their postings, packed.
 
     Equal sets of a batch are combined before the shuffle. A set is its class id, size and bitmap; a posting is a
-    run, the set's place in the blob and the run's rank in it.
+    run (32 bits, which can only add candidates), the set's place in the blob and the run's rank in it.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         runs, ranks = Runs(run), order.value
         mask = np.uint64(len(ranks) - 1)
-        for part in batches:
+        for part in (whole[k : k + 65_536] for whole in batches for k in range(0, len(whole), 65_536)):
             hashes, owner = runs.sets(list(part["t"]))
             if not len(hashes):
                 continue
@@ -155,9 +191,8 @@ def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFram
             hashes = hashes[np.repeat(keep, sizes)]
             ids, sizes = ids[keep], sizes[keep]
             place = np.repeat(np.arange(len(ids)), sizes)
-            bit = (hashes >> np.uint64(40)) & np.uint64(64 * BITMAP - 1)
-            bitmap = np.zeros((len(ids), BITMAP), np.uint64)
-            np.bitwise_xor.at(bitmap, (place, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+            bitmaps = parities(hashes, place, len(ids))
+            level = np.searchsorted(BITMAP_SIZES, sizes)
             by_rank = np.lexsort((hashes, ranks[(hashes & mask).astype(np.int64)], place))
             hashes = hashes[by_rank]
             rank = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -170,9 +205,13 @@ def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFram
             out = []
             for a, b in zip(cuts, cuts[1:]):
                 used, local = np.unique(place[a:b], return_inverse=True)
-                head = np.c_[ids[used], sizes[used].astype(np.uint64), bitmap[used]]
-                body = np.rec.fromarrays([hashes[a:b], local.astype("<u4"), rank[a:b].astype("<u4")], names="h,p,r")
-                out.append((int(shard[a]), head.astype("<u8").tobytes(), body["h"].astype("<u8").tobytes() + body["p"].tobytes() + body["r"].tobytes()))
+                by_level = np.argsort(level[used], kind="stable")
+                used, back = used[by_level], np.argsort(by_level)
+                local, found = back[local], level[used]
+                head = [np.bincount(found, minlength=len(BITMAP_SIZES) + 1).astype("<u4"), ids[used].astype("<u8"), sizes[used].astype("<u4")]
+                head += [bitmaps[k][used[found == k]].astype("<u8") for k in range(len(BITMAP_SIZES) + 1)]
+                body = hashes[a:b].astype("<u4"), local.astype("<u2"), np.minimum(rank[a:b], 65_535).astype("<u2")
+                out.append((int(shard[a]), b"".join(x.tobytes() for x in head), b"".join(x.tobytes() for x in body)))
             yield pd.DataFrame(out, columns=["shard", "sets", "runs"])
 
     return texts.select("t").mapInPandas(pack, "shard int, sets binary, runs binary")
@@ -180,18 +219,18 @@ def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFram
 
 def merged(sets: list[bytes], runs: list[bytes]) -> np.ndarray:
     """Pairs of class ids (two columns, smaller first) that one shard's short lists and bounds leave possible."""
-    heads = [np.frombuffer(s, "<u8").reshape(-1, 2 + BITMAP) for s in sets]
-    offset = np.cumsum([0, *map(len, heads)])
+    heads = [unpacked(s) for s in sets]
+    offset = np.cumsum([0, *(len(h[0]) for h in heads)])
     parts = []
     for k, blob in enumerate(runs):
-        n = len(blob) // 16
-        parts.append((np.frombuffer(blob, "<u8", n), np.frombuffer(blob, "<u4", n, 8 * n).astype(np.int64) + offset[k], np.frombuffer(blob, "<u4", n, 12 * n)))
-    head = np.concatenate(heads)
+        n = len(blob) // 8
+        parts.append((np.frombuffer(blob, "<u4", n), np.frombuffer(blob, "<u2", n, 4 * n).astype(np.int64) + offset[k], np.frombuffer(blob, "<u2", n, 6 * n)))
     run, place, rank = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    ids, first, same = np.unique(head[:, 0], return_index=True, return_inverse=True)
+    ids, first, same = np.unique(np.concatenate([h[0] for h in heads]), return_index=True, return_inverse=True)
     keep = first[same[place]] == place  # copies from several batches: one of them stands for all
     run, place, rank = run[keep], same[place[keep]], rank[keep].astype(np.int32)
-    size, bitmap = head[first, 1].astype(np.int32), head[first, 2:]
+    size, level = (np.concatenate([h[i] for h in heads])[first].astype(np.int32) for i in (1, 2))
+    bitmaps = [np.concatenate([h[3][k] for h in heads])[first] for k in range(len(BITMAP_SIZES) + 1)]
     order = np.lexsort((size[place], run))
     run, place, rank = run[order], place[order], rank[order]
     n = size[place]
@@ -212,7 +251,10 @@ def merged(sets: list[bytes], runs: list[bytes]) -> np.ndarray:
         need = least_overlap(n[a], n[b])
         ok = np.minimum(n[a] - rank[a], n[b] - rank[b]) >= need
         a, b, need = place[a[ok]], place[b[ok]], need[ok]
-        apart = np.bitwise_count(bitmap[a] ^ bitmap[b]).sum(axis=1, dtype=np.int32)
+        apart, common = np.zeros(len(a), np.int32), np.minimum(level[a], level[b])
+        for k, bitmap in enumerate(bitmaps):
+            at_level = np.flatnonzero(common == k)
+            apart[at_level] = np.bitwise_count(bitmap[a[at_level]] ^ bitmap[b[at_level]]).sum(axis=1, dtype=np.int32)
         ok = apart <= size[a] + size[b] - 2 * need
         a, b = a[ok], b[ok]
         found.append(np.unique(np.minimum(a, b) * len(ids) + np.maximum(a, b)))
