@@ -1,0 +1,222 @@
+"""Segmentation of reports into finding candidates, by three shapes of Markdown.
+
+Texts become line tables (doc_id, line_no, line); each segmenter marks starts and ends with windows partitioned by
+document and cuts the pieces out of the document's line array, so no piece is gathered by a second shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from auditlake.functions import text as T
+from auditlake.functions.headings import md_headings
+from auditlake.runtime import text_batches
+
+SEGMENT = ("doc_id", "idx", "start_line", "end_line", "page_start", "finding_id", "severity", "heading", "markdown")
+_ID_HEADING = r"^\[([A-Za-z]{1,6}-\d{1,4})\]\s+(.+)$"
+_SPAN_HEADING = r'^(#{1,6})\s+<span id="page-(\d+)-\d+"></span>(.*)$'
+_ANCHOR = r'<span id="page-(\d+)-\d+"></span>'
+_TITLE_ROW = r"^\|\s*(\d+)\.\s*(.*?)\s*\|"
+_ID_ROW = r"^\|\s*([A-Za-z0-9]+-\d{2,})\s*\|\s*([^|]+)\|"
+LABELS = ("Severity", "Difficulty", "Type", "Finding ID", "Target")
+
+
+def documents(df: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """(doc_id, lines) of all documents with a text."""
+    return df.where(F.col(text).isNotNull()).select(F.col(doc).alias("doc_id"), T.text_lines(F.col(text)).alias("lines"))
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line), line_no from 0."""
+    return docs.select("doc_id", F.posexplode("lines").alias("line_no", "line"))
+
+
+def _body(lines: Column, start: Column, end: Column) -> Column:
+    """Lines from start up to end, without blanks at the end, with one line end."""
+    cut = F.array_join(F.slice(lines, start + 1, F.greatest(end - start, F.lit(0))), "\n")
+    return F.concat(F.regexp_replace(cut, r"(?U)\s+$", ""), F.lit("\n"))
+
+
+def severity_blocks(df: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """Findings of native reports: headings below a severity heading, then headings that carry an id.
+
+    A heading with a severity opens a block up to the next heading of its level or above; deeper headings in it that
+    are no subsections are findings, each up to the next heading of its level or above. Headings [ID] elsewhere
+    follow, with the severity of the id's prefix or of the nearest severity heading before. Numbers run by line.
+    A severity heading inside another block is a finding and a block, and its children come twice.
+    """
+    text_batches(df.sparkSession, 256)
+    docs = df.where(F.col(text).isNotNull()).select(F.col(doc).alias("doc_id"), T.text_lines(F.col(text)).alias("lines"), md_headings(F.col(text)).alias("h"))
+    # the end of a heading's stretch and its severity are found within the document's own array: no shuffle
+    n = F.size("lines")
+    ends = lambda h: F.coalesce(F.get(F.filter("h", lambda x: (x.start_line > h.start_line) & (x.level <= h.level)), F.lit(0)).start_line, n)
+    seen = F.transform("h", lambda h: F.struct(
+        h.level.alias("level"), h.title.alias("title"), h.start_line.alias("start_line"), ends(h).alias("end_line"),
+        T.heading_severity(h.title).alias("severity"), T.is_subsection(h.title).alias("sub")))
+    docs = docs.select("doc_id", "lines", seen.alias("h"))
+    blocks = F.filter("h", lambda b: b.severity.isNotNull())
+    inside = F.flatten(F.transform(blocks, lambda b: F.transform(
+        F.filter("h", lambda c: (c.start_line > b.start_line) & (c.start_line < b.end_line) & (c.level > b.level) & ~c["sub"]),
+        lambda c: F.struct(c.start_line.alias("start_line"), F.lit(1).alias("pass"), b.start_line.alias("block_line"), F.least(c.end_line, b.end_line).alias("end_line"), c.title.alias("title"), b.severity.alias("severity")))))
+    docs = docs.select("doc_id", "lines", "h", inside.alias("first"))
+    taken = F.transform("first", lambda x: x.start_line)
+    before = lambda c: F.element_at(F.filter("h", lambda b: b.severity.isNotNull() & (b.start_line <= c.start_line)), -1).severity
+    second = F.transform(
+        F.filter("h", lambda c: c.title.rlike(_ID_HEADING) & ~F.array_contains(taken, c.start_line)),
+        lambda c: F.struct(c.start_line.alias("start_line"), F.lit(2).alias("pass"), F.lit(0).alias("block_line"), c.end_line.alias("end_line"), c.title.alias("title"), F.when(F.size(F.filter("h", lambda b: b.severity.isNotNull() & (b.start_line <= c.start_line))) > 0, before(c)).alias("severity")),
+    )
+    found = docs.select("doc_id", "lines", F.posexplode(F.array_sort(F.concat("first", second))).alias("k", "f"))
+    fid = T.absent(F.regexp_extract("f.title", _ID_HEADING, 1))
+    title = F.coalesce(T.absent(F.regexp_extract("f.title", _ID_HEADING, 2)), F.col("f.title"))
+    idx = F.col("k") + 1
+    return found.select(
+        "doc_id", idx.alias("idx"), F.col("f.start_line").alias("start_line"), F.col("f.end_line").alias("end_line"),
+        F.lit(None).cast("int").alias("page_start"), fid.alias("finding_id"),
+        F.coalesce(T.prefix_severity(fid), F.col("f.severity")).alias("severity"),
+        F.concat(idx, F.lit(". "), F.regexp_replace(title, r"^\s*\d+\.\s*", "")).alias("heading"),
+        _body(F.col("lines"), F.col("f.start_line"), F.col("f.end_line")).alias("markdown"),
+    )
+
+
+def span_blocks(df: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """(doc_id, block, page, start_line, end_line, first_line): stretches of lines from one page anchor to the next.
+
+    Lines before the first anchor are dropped.
+    """
+    lines = line_table(documents(df, doc, text))
+    by = W.partitionBy("doc_id").orderBy("line_no")
+    page = T.absent(F.regexp_extract("line", _ANCHOR, 1)).cast("int")
+    marked = lines.withColumn("page", page)
+    anchors = marked.withColumn("block", F.count("page").over(by)).where("block > 0")
+    return anchors.groupBy("doc_id", "block").agg(
+        F.max("page").alias("page"), F.min("line_no").alias("start_line"), (F.max("line_no") + 1).alias("end_line"), F.min_by("line", "line_no").alias("first_line")
+    )
+
+
+def span_segments(df: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """Findings of converted reports whose headings carry page anchors and numbers.
+
+    A finding starts at a block with a numbered heading, or with a numbered title row and a metadata label in its
+    first 20 lines; it ends at the next start, the last one at the first appendix heading behind it. Ordered by number.
+    """
+    docs = documents(df, doc, text)
+    blocks = span_blocks(df, doc, text).join(docs, "doc_id")
+    rest = F.trim(F.regexp_extract("first_line", _SPAN_HEADING, 3))
+    body = F.slice("lines", F.col("start_line") + 2, F.greatest(F.col("end_line") - F.col("start_line") - 1, F.lit(0)))
+    content = F.trim(F.get(F.filter(body, lambda x: F.trim(x) != ""), F.lit(0)))
+    head20 = F.slice("lines", F.col("start_line") + 1, F.least(F.col("end_line") - F.col("start_line"), F.lit(20)))
+    labelled = F.exists(head20, lambda x: F.lit(False) if not LABELS else _any(x, LABELS))
+    by_heading = T.absent(F.regexp_extract(rest, r"^\s*(\d+)\.\s*(.*)$", 1)).cast("int")
+    by_row = F.when(labelled, T.absent(F.regexp_extract(content, _TITLE_ROW, 1)).cast("int"))
+    row_title = F.when(T.absent(F.regexp_extract(content, _TITLE_ROW, 1)).cast("int") == F.coalesce(by_heading, by_row), F.regexp_extract(content, _TITLE_ROW, 2))
+    seen = blocks.select(
+        "doc_id", "block", "page", "start_line", "end_line", "lines", F.coalesce(by_heading, by_row).alias("number"),
+        F.coalesce(T.absent(F.regexp_extract(rest, r"^\s*\d+\.\s*(.*)$", 1)), T.absent(row_title), T.absent(rest)).alias("title"),
+        rest.rlike(r"^[A-Z]\.").alias("appendix"),
+    )
+    by = W.partitionBy("doc_id").orderBy("block")
+    later = by.rowsBetween(1, W.unboundedFollowing)
+    seen = seen.withColumn("next", F.min(F.when(F.col("number").isNotNull(), F.col("start_line"))).over(later))
+    seen = seen.withColumn("stop", F.min(F.when(F.col("appendix"), F.col("start_line"))).over(later)).where("number is not null")
+    end = F.coalesce("next", "stop", F.size("lines"))
+    order = W.partitionBy("doc_id").orderBy("number", "block")
+    return seen.select(
+        "doc_id", F.col("number").alias("idx"), "start_line", end.alias("end_line"), F.col("page").alias("page_start"),
+        F.lit(None).cast("string").alias("finding_id"), F.lit(None).cast("string").alias("severity"),
+        F.concat(F.col("number"), F.lit(". "), F.coalesce("title", F.concat(F.lit("Vulnerability "), F.col("number")))).alias("heading"),
+        _body(F.col("lines"), F.col("start_line"), end).alias("markdown"), F.row_number().over(order).alias("place"),
+    )
+
+
+def _any(x: Column, words: tuple[str, ...]) -> Column:
+    found = x.contains(words[0])
+    for w in words[1:]:
+        found = found | x.contains(w)
+    return found
+
+
+def page_of_lines(lines: DataFrame) -> DataFrame:
+    """lines with the page of the last page mark at or before each line, null before the first."""
+    by = W.partitionBy("doc_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
+    mark = T.absent(F.regexp_extract("line", r"^\{(\d+)\}\s*-+", 1)).cast("int")
+    return lines.withColumn("page", F.last(mark, ignorenulls=True).over(by))
+
+
+def id_table_segments(df: DataFrame, doc: str = "doc_id", text: str = "markdown") -> DataFrame:
+    """Findings of reports whose details start with rows | ID-01 | title |.
+
+    With a summary table (header with id, severity and status) only ids listed in it count, and only behind it;
+    without one all such rows do. The last finding ends at a heading with the word Appendix.
+    """
+    docs = documents(df, doc, text)
+    lines = page_of_lines(line_table(docs))
+    s = F.lower(F.trim("line"))
+    by = W.partitionBy("doc_id").orderBy("line_no")
+    whole = W.partitionBy("doc_id")
+    header = s.startswith("| id") & s.contains("severity") & s.contains("status")
+    seen = lines.select(
+        "doc_id", "line_no", "page", "line", F.trim("line").startswith("|").alias("row"),
+        T.absent(F.trim(F.regexp_extract("line", _ID_ROW, 1))).alias("fid"), F.trim(F.regexp_extract("line", _ID_ROW, 2)).alias("title"),
+        F.min(F.when(header, F.col("line_no"))).over(whole).alias("summary"), F.col("line").rlike(r"(?i)^\s*#{1,6}.*\bAppendix\b").alias("appendix"),
+    )
+    past = F.min(F.when((F.col("line_no") > F.col("summary")) & ~F.col("row"), F.col("line_no"))).over(whole)
+    last = F.max("line_no").over(whole) + 1
+    seen = seen.withColumn("summary_end", F.when(F.col("summary").isNotNull(), F.coalesce(past, last)))
+    seen = seen.withColumn("stop", F.min(F.when(F.col("appendix"), F.col("line_no"))).over(by.rowsBetween(1, W.unboundedFollowing)))
+    rows = seen.where("fid is not null")
+    listed = F.col("summary").isNotNull() & (F.col("line_no") > F.col("summary")) & (F.col("line_no") < F.col("summary_end"))
+    rows = rows.withColumn("ids", F.collect_set(F.when(listed, F.col("fid"))).over(whole))
+    detail = (F.col("summary").isNull() | (F.col("line_no") > F.col("summary_end"))) & ((F.size("ids") == 0) | F.array_contains("ids", F.col("fid")))
+    rows = rows.withColumn("detail", detail)
+    details = F.sum(F.col("detail").cast("int")).over(whole)
+    starts = rows.withColumn("n", details).where("detail or (n = 0 and size(ids) = 0)")
+    starts = starts.withColumn("idx", F.row_number().over(by)).withColumn("next", F.lead("line_no").over(by)).join(docs, "doc_id")
+    end = F.coalesce("next", "stop", F.size("lines"))
+    body = T.stripped(F.array_join(F.slice("lines", F.col("line_no") + 1, end - F.col("line_no")), "\n"))
+    return starts.select(
+        "doc_id", "idx", F.col("line_no").alias("start_line"), end.alias("end_line"), F.col("page").alias("page_start"), F.col("fid").alias("finding_id"),
+        F.lit(None).cast("string").alias("severity"), F.concat("idx", F.lit(". "), "title").alias("heading"), F.concat(body, F.lit("\n")).alias("markdown"),
+    )
+
+
+def segments(df: DataFrame, doc: str = "doc_id", text: str = "markdown", native: Column | None = None) -> DataFrame:
+    """Findings by the first shape that yields any for a document: severity blocks (native texts), anchors, id tables."""
+    native = F.lit(True) if native is None else native
+    blocks = severity_blocks(df.where(native), doc, text)
+    spans = span_segments(df, doc, text).select(*SEGMENT)
+    tables = id_table_segments(df, doc, text).select(*SEGMENT)
+    ranked = blocks.withColumn("shape", F.lit(1)).unionByName(spans.withColumn("shape", F.lit(2))).unionByName(tables.withColumn("shape", F.lit(3)))
+    return ranked.withColumn("first", F.min("shape").over(W.partitionBy("doc_id"))).where("shape = first").drop("first")
+
+
+def page_chunks(pages: DataFrame, limit: int = 35_000) -> DataFrame:
+    """(doc_id, chunk, pages): pages packed in order into chunks of at most ``limit`` characters, one page at least.
+
+    pages: doc_id, page, size. The running fill is a fold over the document's page sizes.
+    """
+    ordered = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "size"))).alias("pages"))
+    start = F.struct(F.lit(0).alias("fill"), F.lit(0).alias("chunk"), F.array().cast("array<struct<page:int,chunk:int>>").alias("done"))
+    def step(acc: Column, x: Column) -> Column:
+        new = (acc.fill > 0) & (acc.fill + x["size"] > limit)
+        chunk = F.when(new | (acc.chunk == 0), acc.chunk + 1).otherwise(acc.chunk)
+        fill = F.when(new, x["size"]).otherwise(acc.fill + x["size"])
+        return F.struct(fill.cast("int").alias("fill"), chunk.cast("int").alias("chunk"), F.concat(acc.done, F.array(F.struct(x.page.cast("int").alias("page"), chunk.cast("int").alias("chunk")))).alias("done"))
+    placed = ordered.select("doc_id", F.inline(F.aggregate("pages", start, step, lambda acc: acc.done)))
+    return placed.groupBy("doc_id", "chunk").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("n_pages"))
+
+
+def merged_segments(raw: DataFrame) -> DataFrame:
+    """Overlapping candidates of one finding as one: by id, else by heading and place; numbered by start.
+
+    raw: doc_id, finding_id, heading, start_line, end_line. The representative has an id and starts first.
+    """
+    has_id = F.col("finding_id").isNotNull() & (F.col("finding_id") != "")
+    key = F.when(has_id, F.concat(F.lit("id:"), "finding_id")).otherwise(F.concat(F.lit("h:"), T.heading_key(F.col("heading")), F.lit(":"), F.floor(F.col("start_line") / 200)))
+    first = F.struct((~has_id).alias("no_id"), "start_line", "heading")
+    merged = raw.withColumn("k", key).groupBy("doc_id", "k").agg(
+        F.min("start_line").alias("start_line"), F.max("end_line").alias("end_line"), F.min_by(F.struct("finding_id", "heading"), first).alias("r")
+    )
+    by = W.partitionBy("doc_id").orderBy("start_line", "k")
+    return merged.select("doc_id", F.row_number().over(by).alias("idx"), "start_line", "end_line", "r.finding_id", "r.heading")
