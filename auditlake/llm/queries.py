@@ -130,7 +130,7 @@ _MISSING = ", ".join("'" + w.replace("'", "''") + "'" for w in survivors.MISSING
 P6_FOUND = f"""
 WITH RECURSIVE f AS (
   SELECT scvd_id, any_value(duplicate_of) AS parent, any_value(origin) AS origin,
-         any_value(provenance.scvd_normalized_at)::TIMESTAMPTZ AS at,
+         any_value(provenance.scvd_normalized_at)::TIMESTAMPTZ AS ts,
          any_value(repo.url) AS repo_url, any_value(repo.commit_sha) AS commit_sha, any_value(target.path) AS target_path,
          any_value(target.contract_name) AS contract_name, any_value(severity) AS severity
   FROM findings GROUP BY scvd_id),
@@ -139,7 +139,7 @@ g AS (
   UNION
   SELECT f.scvd_id, g.root_id FROM f JOIN g ON f.parent = g.scvd_id WHERE f.parent <> f.scvd_id),
 long AS (
-  SELECT scvd_id, origin, at, u.field_name, u.value
+  SELECT scvd_id, origin, ts, u.field_name, u.value
   FROM f, LATERAL (VALUES ('repo_url', repo_url), ('commit_sha', commit_sha), ('target_path', target_path),
                           ('contract_name', contract_name), ('severity', severity)) AS u(field_name, value)),
 usable AS (
@@ -148,7 +148,7 @@ usable AS (
     AND (field_name <> 'commit_sha' OR (regexp_matches(lower(trim(value)), '^[0-9a-f]{{7,64}}$') AND NOT regexp_matches(trim(value), '^0+$'))))
 SELECT root_id, field_name, scvd_id FROM usable JOIN g USING (scvd_id)
 QUALIFY row_number() OVER (PARTITION BY root_id, field_name ORDER BY
-  CASE origin WHEN 'native' THEN 1 WHEN 'pdf' THEN 2 WHEN 'issue' THEN 3 ELSE 4 END, at DESC NULLS LAST, scvd_id) = 1
+  CASE origin WHEN 'native' THEN 1 WHEN 'pdf' THEN 2 WHEN 'issue' THEN 3 ELSE 4 END, ts DESC NULLS LAST, scvd_id) = 1
 """
 
 
