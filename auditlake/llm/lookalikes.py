@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.runtime import text_batches
+from auditlake.runtime import cut_lineage, text_batches
 
 # Letters of other scripts that are drawn like Latin ones, and hyphens drawn alike.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХԚԜаеѕіјорсухһԁԛԝ", "ABESIJKMHOPCTYXQWaesijopcyxhdqw"))
@@ -119,6 +119,7 @@ def equal_looking_classes(df: DataFrame, key: str = "doc_id", text: str = "text"
     """
     forms = consistent_texts(df.select(F.col(key).alias(key), F.col(text).alias("_text")).where("_text is not null"), "_text", "_form")
     ids = forms.where("_form <> ''").select(key, F.unhex(F.sha2("_form", 256)).alias("form_id"), F.unhex(F.sha2("_text", 256)).alias("text_id"))
+    ids = cut_lineage(ids)  # read by three branches; the texts are reduced only once
     mixed = ids.groupBy("form_id").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high")).where("low <> high")
     return ids.join(mixed.select("form_id"), "form_id", "left_semi")
 
