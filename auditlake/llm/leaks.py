@@ -102,7 +102,7 @@ class LeakIndex:
                 self.grams[g].append(k)
 
     def __call__(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, matched words, start, end) of every leaked passage; positions count in the text's consistent form."""
+        """(item, matched words, start, end) of every leaked stretch; positions count in the text's consistent form."""
         if not text:
             return []
         words, spans = words_of(text)
@@ -113,17 +113,24 @@ class LeakIndex:
                 hits[k].append(j)
         found = []
         for k, at in hits.items():
-            passage, items = self.passages[k]
+            items = self.passages[k][1]
             for low, high in self.regions(at):
-                a, b = max(0, low - GAP), min(len(words), high + n + GAP)
-                if common_words(words[a:b], self.places[k], len(passage)) < self.least:
-                    continue
-                score, matches, start, end = aligned_stretch(words[a:b], passage)
-                if matches >= self.least and score >= DENSITY * matches:
-                    found += [(item, matches, spans[a + start][0], spans[a + end - 1][1]) for item in items]
-                    break
+                for matches, start, end in self.stretches(words, max(0, low - GAP), min(len(words), high + n + GAP), k):
+                    found += [(item, matches, spans[start][0], spans[end - 1][1]) for item in items]
         return found
 
+    def stretches(self, words: list[str], low: int, high: int, k: int) -> Iterator[tuple[int, int, int]]:
+        """(matches, start, end) of every stretch of a region that holds the passage: the best, then those beside it."""
+        passage, left = self.passages[k][0], [(low, high)]
+        while left:
+            a, b = left.pop()
+            if b - a < self.least or common_words(words[a:b], self.places[k], len(passage)) < self.least:
+                continue
+            score, matches, start, end = aligned_stretch(words[a:b], passage)
+            if matches >= self.least and score >= DENSITY * matches:
+                yield matches, a + start, a + end
+                left += [(a, a + start), (a + end, b)]
+
     def regions(self, at: list[int]) -> Iterator[tuple[int, int]]:
         """Stretches of hits dense enough for a leak of the least length with one word in five touched."""
         touched = self.least // 5
@@ -145,7 +152,7 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
     least: int = LEAST_WORDS, window: int = WINDOW,
 ) -> DataFrame:
-    """(key, item_key, words, start_pos, end_pos), one row for each document and item whose passage it holds.
+    """(key, item_key, words, start_pos, end_pos), one row for each stretch of a document that holds an item's passage.
 
     Items without a second paragraph, or with one shorter than ``least`` words, can't leak. Null and empty documents
     hold nothing. Items that share a passage are all reported. The corpus is read once and never shuffled; the items
@@ -174,7 +181,7 @@ def find_leaks(
 def remove_leaks(docs: DataFrame, leaks: DataFrame, key: str = "doc_id", text: str = "text", into: str = "cleaned") -> DataFrame:
     """docs with the leaked stretches cut from the consistent form of the text; other texts stay as they are.
 
-    The leaks of a document are few (at most one for each item), so they travel as one small array by a left join.
+    The leaks of a document are few and collected as a set, so they travel as one small array by a left join.
     """
     spans = leaks.groupBy(key).agg(F.sort_array(F.collect_set(F.struct("start_pos", "end_pos"))).alias("_spans"))
 

@@ -205,6 +205,18 @@ def test_leaks(spark):
     assert leaks.find_leaks(df, items.where("false")).count() == 0
 
 
+def test_every_leaked_stretch_goes(spark):
+    one = passage(1)
+    words, other = one.split(), " ".join(f"x{k}" for k in range(40))
+    items = spark.createDataFrame([(1, f"Read.\n\n{one}\n\nWhich?")], "item_id int, text string")
+    halves = " ".join(words[:30]), " ".join(words[30:])
+    docs = [(1, f"a {halves[0]} {other} {halves[1]} z"), (2, f"a {one} {other} {one} z"), (3, f"a {one} b {one} z")]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    found = leaks.find_leaks(df, items)
+    cleaned = {r.doc_id: r.cleaned for r in leaks.remove_leaks(df, found).collect()}
+    assert cleaned == {1: f"a  {other}  z", 2: f"a  {other}  z", 3: "a  b  z"}
+
+
 # 9: look-alikes
 
 
