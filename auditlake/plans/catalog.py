@@ -42,7 +42,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return q_segments_by_severity(spark, d)
+    return q_segments_of_reports(spark, d).groupBy("severity").agg(F.sum("n").alias("n"))
 
 
 def _findings(spark: SparkSession, d: str) -> DataFrame:
@@ -401,6 +401,29 @@ def q_segments_by_severity(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy(F.coalesce("severity", F.lit("null")).alias("severity")).agg(F.count("*").alias("n"))
 
 
+@register("""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM report WHERE origin IS NULL OR origin <> 'pdf'),
+fence AS (SELECT *, (count(*) FILTER (regexp_matches(line, '^ {0,3}(```|~~~)')) OVER (PARTITION BY doc_id ORDER BY i)) % 2 AS inside FROM l),
+t AS (SELECT doc_id, i, length(regexp_extract(line, '^ {0,3}(#{1,6})\\s', 1)) AS level, regexp_extract(line, '^ {0,3}#{1,6}\\s+(.*?)(?:\\s+#+)?\\s*$', 1) AS title FROM fence
+  WHERE inside = 0 AND regexp_matches(line, '^ {0,3}#{1,6}\\s+\\S')),
+w AS (SELECT *, CASE split_part(upper(regexp_extract(title, '^\\[([A-Za-z]{1,6}-\\d{1,4})\\]\\s+\\S', 1)), '-', 1) WHEN 'C' THEN 'Critical' WHEN 'H' THEN 'High' WHEN 'M' THEN 'Medium' WHEN 'L' THEN 'Low' WHEN 'NC' THEN 'Informational' END AS by_id,
+  regexp_matches(title, '^\\[[A-Za-z]{1,6}-\\d{1,4}\\]\\s+\\S') AS has_id,
+  regexp_matches(lower(title), 'description|impact|proof of concept|proof-of-concept|poc|exploit|recommended mitigation|recommendations|mitigation|resolution|fix status|test case|background|overview') AS sub,
+  CASE WHEN regexp_matches(lower(title), 'criteria|summary') THEN NULL WHEN regexp_matches(lower(title), '\\bcritical\\b') THEN 'Critical' WHEN regexp_matches(lower(title), '\\bhigh\\b') THEN 'High'
+  WHEN regexp_matches(lower(title), '\\bmedium\\b') THEN 'Medium' WHEN regexp_matches(lower(title), '\\blow\\b') THEN 'Low' WHEN regexp_matches(lower(title), '\\b(informational|info|non-critical|nc)\\b') THEN 'Informational'
+  WHEN regexp_matches(lower(title), '\\bgas\\b') THEN 'Gas' WHEN regexp_matches(lower(title), '\\bqa\\b') THEN 'QA' END AS severity FROM t),
+h AS (SELECT *, coalesce((SELECT min(x.i) FROM w x WHERE x.doc_id = w.doc_id AND x.i > w.i AND x.level <= w.level), 1000000000) AS stop,
+  last_value(severity IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS latest FROM w),
+inside AS (SELECT c.doc_id, c.i, coalesce(c.by_id, b.severity) AS severity FROM h b JOIN h c ON c.doc_id = b.doc_id AND c.i > b.i AND c.i < b.stop AND c.level > b.level WHERE b.severity IS NOT NULL AND NOT c.sub),
+blocks AS (SELECT doc_id, severity FROM inside UNION ALL SELECT doc_id, coalesce(by_id, latest) FROM h WHERE has_id AND (doc_id, i) NOT IN (SELECT doc_id, i FROM inside)),
+pdf AS (SELECT DISTINCT f.doc_id, scvd_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin = 'pdf')
+SELECT doc_id, coalesce(severity, 'null') AS severity, count(*) AS n FROM (SELECT doc_id, severity FROM blocks UNION ALL SELECT doc_id, NULL FROM pdf) GROUP BY ALL""")
+def q_segments_of_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Segments of all reports by severity: native and issue texts against their headings, converted ones against their findings."""
+    native = F.coalesce(F.col("origin") != "pdf", F.lit(True))
+    found = segment.segments(table(spark, d, "report"), native=native)
+    return found.groupBy("doc_id", F.coalesce("severity", F.lit("null")).alias("severity")).agg(F.count("*").alias("n"))
+
+
 @register("""WITH r AS (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 1 THEN 'id:P-' || (l_partkey % 3) ELSE 'h:part:' || floor(l_suppkey * 20 / 200)::BIGINT END AS k, l_suppkey * 20 AS s, l_suppkey * 20 + l_quantity::BIGINT AS e FROM lineitem)
 SELECT l_orderkey::VARCHAR AS doc_id, count(*) AS n, min(s) AS first_line, max(e) AS last_line FROM (SELECT l_orderkey, k, min(s) AS s, max(e) AS e FROM r GROUP BY 1, 2) GROUP BY 1""")
 def q_llm_merge(spark: SparkSession, d: str) -> DataFrame:

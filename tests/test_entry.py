@@ -1,5 +1,6 @@
 import __spark_entry__ as entry
 from auditlake.operators.segment import documents
+from auditlake.plans import catalog
 from auditlake.sources import files
 from auditlake.streaming.ingest import start_segmenting
 
@@ -38,3 +39,16 @@ def test_stream_segments_what_arrives(spark, tmp_path):
 
 def test_documents_drop_nulls(spark):
     assert documents(spark.createDataFrame([("a", None)], "doc_id string, markdown string")).count() == 0
+
+
+def test_flagship_segments_every_report(spark, tmp_path):
+    rows = [
+        ("i", "issue", "# High\n\n## [H-01] A\nx\n"),
+        ("n", "native", "# Findings\n\n### One\nx\n```\n### [L-09] code\n```\n\n### [M-01] Two\ny\n\n### Uses all gas\n\n#### Inner\nz\n"),
+        ("p", "pdf", "# T\n\n| F-01 | Three |\n\nx\n\n| F-02 | Four |\n\ny\n"),
+        ("o", None, "# T\n\n## [C-01] Five\n"),
+    ]
+    spark.createDataFrame(rows, "doc_id string, origin string, markdown string").write.parquet(str(tmp_path / "report.parquet"))
+    got = {(r.doc_id, r.severity): r.n for r in catalog.q_segments_of_reports(spark, str(tmp_path)).collect()}
+    assert got == {("i", "High"): 1, ("n", "Medium"): 1, ("n", "Gas"): 1, ("p", "null"): 2, ("o", "Critical"): 1}
+    assert {tuple(r) for r in catalog.flagship(spark, str(tmp_path)).collect()} == {("High", 1), ("Medium", 1), ("Gas", 1), ("null", 2), ("Critical", 1)}
