@@ -81,15 +81,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     long = survivors.finding_members(table(spark, d, "findings"))
-    return survivors.best_members(long, "scvd_id", "origin", "normalized_at").select("root_id", "field_name", "scvd_id")
+    return survivors.voted_values(long, "scvd_id", "origin", "normalized_at", half_life_days=0).select("root_id", "field_name", "scvd_id")
 
 
 def p6_records(spark: SparkSession, d: str) -> DataFrame:
     """One record for each group, every field by the votes of all members; the latest instant in the table is now."""
     findings = table(spark, d, "findings")
-    long = survivors.finding_members(findings)
-    now = findings.agg(F.max(survivors.instant(F.col("provenance.scvd_normalized_at"))).alias("now"))
-    winners = survivors.voted_values(long.crossJoin(F.broadcast(now)), "scvd_id", "origin", "normalized_at", F.col("now"))
+    now = findings.agg(F.max(survivors.instant(F.col("provenance.scvd_normalized_at")))).first()[0]
+    winners = survivors.voted_values(survivors.finding_members(findings), "scvd_id", "origin", "normalized_at", F.lit(now).cast("timestamp"))
     return survivors.pivoted(winners, tuple(survivors.FINDING_FIELDS))
 
 
@@ -126,7 +125,7 @@ UNION
 SELECT 'finding', scvd_id FROM findings WHERE length(description_md) > {FINDING_LIMIT}
 """
 
-_MISSING = ", ".join("'" + w.replace("'", "''") + "'" for w in survivors.MISSING)
+_MISSING = ", ".join(f"'{w}'" for w in survivors.MISSING)
 P6_FOUND = f"""
 WITH RECURSIVE f AS (
   SELECT scvd_id, any_value(duplicate_of) AS parent, any_value(origin) AS origin,
@@ -138,15 +137,18 @@ g AS (
   SELECT scvd_id, scvd_id AS root_id FROM f WHERE parent IS NULL OR parent = scvd_id
   UNION
   SELECT f.scvd_id, g.root_id FROM f JOIN g ON f.parent = g.scvd_id WHERE f.parent <> f.scvd_id),
+linked AS (SELECT * FROM g QUALIFY count(*) OVER (PARTITION BY root_id) > 1),
 long AS (
   SELECT scvd_id, origin, ts, u.field_name, u.value
   FROM f, LATERAL (VALUES ('repo_url', repo_url), ('commit_sha', commit_sha), ('target_path', target_path),
                           ('contract_name', contract_name), ('severity', severity)) AS u(field_name, value)),
+worded AS (SELECT *, trim(regexp_replace(lower(value), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS words FROM long WHERE value IS NOT NULL),
 usable AS (
-  SELECT * FROM long
-  WHERE value IS NOT NULL AND lower(trim(value, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))) NOT IN ({_MISSING})
-    AND (field_name <> 'commit_sha' OR (regexp_matches(lower(trim(value)), '^[0-9a-f]{{7,64}}$') AND NOT regexp_matches(trim(value), '^0+$'))))
-SELECT root_id, field_name, scvd_id FROM usable JOIN g USING (scvd_id)
+  SELECT * FROM worded
+  WHERE words <> '' AND words NOT IN ({_MISSING}) AND NOT regexp_matches(trim(value), '^<[\\w .-]*>$')
+    AND (field_name <> 'commit_sha' OR (regexp_matches(lower(trim(value)), '^[0-9a-f]{{7,64}}$') AND NOT regexp_matches(trim(value), '^0+$')))
+    AND (field_name <> 'repo_url' OR NOT regexp_matches(trim(value), '^[A-Za-z][A-Za-z0-9+.-]*:/*$')))
+SELECT root_id, field_name, scvd_id FROM usable JOIN linked USING (scvd_id)
 QUALIFY row_number() OVER (PARTITION BY root_id, field_name ORDER BY
   CASE origin WHEN 'native' THEN 1 WHEN 'pdf' THEN 2 WHEN 'issue' THEN 3 ELSE 4 END, ts DESC NULLS LAST, scvd_id) = 1
 """

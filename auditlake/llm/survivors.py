@@ -7,20 +7,26 @@ from pyspark.sql import functions as F
 
 from auditlake.operators.graph import chase_roots
 
-# Words and signs that stand for a missing value, after trimming and lower-casing.
+# Words that stand for a missing value, compared in lower case with signs as blanks.
 MISSING = (
-    "", "-", "--", "?", "??", "???", ".", "...", "…", "n/a", "n.a.", "n.a", "na", "nil", "null", "none", "none given", "not given", "not set",
-    "unknown", "unspecified", "undefined", "tbd", "tba", "todo", "pending", "(pending)", "see report", "various", "multiple", "(multiple)",
-    "<path>", "<url>", "<name>", "./", "/", "http://", "https://", "latest", "head", "main", "master",
+    "na", "n a", "nil", "null", "none", "none given", "nothing", "not given", "not set", "not known", "not specified", "not stated", "not provided",
+    "not applicable", "not available", "no value", "no data", "unknown", "unspecified", "undefined", "undisclosed", "unavailable", "missing", "empty", "blank",
+    "tbd", "tba", "tbc", "to be determined", "to be announced", "to be confirmed", "to be added", "todo", "pending", "placeholder", "xxx",
+    "see report", "see text", "see above", "see below", "various", "multiple", "several",
 )
 TRUST = {"native": 3.0, "pdf": 2.0, "issue": 1.0}
 HALF_LIFE_DAYS = 365.0
 
 
 def usable(value: Column) -> Column:
-    """Whether a value says anything; false for null, blanks and words or signs for a missing value."""
-    bare = F.lower(F.regexp_replace(value, r"(?U)^\s+|\s+$", ""))
-    return value.isNotNull() & ~bare.isin(*MISSING)
+    """Whether a value says anything; false for null, for signs alone, names in angle brackets, and words for a missing value."""
+    words = F.trim(F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}]+", " "))
+    return F.coalesce((words != "") & ~words.isin(*MISSING) & ~F.trim(value).rlike(r"^<[\w .-]*>$"), F.lit(False))
+
+
+def is_address(value: Column) -> Column:
+    """Whether a link holds more than its scheme."""
+    return ~F.trim(value).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:/*$")
 
 
 def is_hash(value: Column) -> Column:
@@ -35,16 +41,16 @@ def instant(value: Column) -> Column:
 
 
 def members(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """(key, root_id) of every member of a group: each record without parent, and all that lead to one.
+    """(key, root_id) of every member of a group of linked records: all that lead to a record without parent, and that record.
 
-    Records whose chain ends outside the table or runs into a cycle belong to no group. A record that names itself
-    as parent is a root. Redelivered rows count once.
+    Records that nothing links are in no group, nor are those whose chain ends outside the table or runs into a cycle.
+    A record that names itself as parent is a root. Redelivered rows count once.
     """
-    rows = df.select(key, parent).where(F.col(key).isNotNull()).distinct()
+    rows = df.select(key, parent).where(F.col(key).isNotNull())
     is_root = F.col(parent).isNull() | (F.col(parent) == F.col(key))
-    roots = rows.where(is_root).select(key, F.col(key).alias("root_id"))
-    led = chase_roots(rows.where(~is_root), key, parent).select(key, F.col("root").alias("root_id"))
-    return roots.unionByName(led.join(roots.select("root_id"), "root_id", "left_semi"))
+    roots = rows.where(is_root).select(F.col(key).alias("root_id"))
+    led = chase_roots(rows.where(~is_root).distinct(), key, parent).select(key, F.col("root").alias("root_id")).join(roots, "root_id", "left_semi").select(key, "root_id")
+    return led.unionByName(led.select(F.col("root_id").alias(key), "root_id").distinct())
 
 
 def long_fields(df: DataFrame, key: str, fields: dict[str, Column], tests: dict[str, Column] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -57,34 +63,30 @@ def long_fields(df: DataFrame, key: str, fields: dict[str, Column], tests: dict[
     return df.select(key, *carry, F.inline(F.array_compact(F.array(*each))))
 
 
-def best_members(long: DataFrame, key: str, origin: str, when: str) -> DataFrame:
-    """(root_id, field_name, key, value): the first member by trust in its origin, then the latest, then the smallest key.
-
-    long: root_id, field_name, value, key, origin, when. max_by over the order keeps one candidate per group and
-    task before the shuffle, so a group of any size is never gathered. Unknown origins come last, null times too.
-    """
-    trust = F.coalesce(F.create_map(*[x for k, v in TRUST.items() for x in (F.lit(k), F.lit(v))])[F.col(origin)], F.lit(0.0))
-    order = F.struct((-trust).alias("t"), (-F.coalesce(F.unix_micros(when), F.lit(-(2**62)))).alias("w"), F.col(key).alias("k"))
-    return long.groupBy("root_id", "field_name").agg(F.min_by(F.struct(key, "value"), order).alias("m")).select("root_id", "field_name", f"m.{key}", "m.value")
-
-
-def voted_values(long: DataFrame, key: str, origin: str, when: str, now: Column, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
-    """(root_id, field_name, value, votes): the value with the most trust, counted over all members.
+def voted_values(long: DataFrame, key: str, origin: str, when: str, now: Column | None = None, half_life_days: float = HALF_LIFE_DAYS) -> DataFrame:
+    """(root_id, field_name, key, value, votes): of each field the value with the most votes, and its best voter.
 
-    Each member votes with its origin's trust, halved for every half-life of age; votes are summed per value
-    without case and outer blanks. Ties go to the smallest normalised value, its form to the best voter.
+    long: root_id, field_name, value, key, origin, when. Each member votes for its value, without case and outer
+    blanks, with its origin's trust, halved for every half-life of age; votes are summed per value. Ties go to the
+    smallest normalised value. A half-life of 0 is the limit: origins lie further apart than any sum, a later vote
+    outweighs all earlier ones, and of equal ones the smaller key's does; a sum is then its greatest term, so the
+    order is strict, and votes is the number of voters. Unknown origins count least, unreadable times as the oldest.
+    Both aggregations combine before their shuffle, so a group of any size is never gathered.
     """
     trust = F.coalesce(F.create_map(*[x for k, v in TRUST.items() for x in (F.lit(k), F.lit(v))])[F.col(origin)], F.lit(0.5))
-    age = F.greatest(F.coalesce((F.unix_micros(now) - F.unix_micros(when)) / 86_400e6, F.lit(10 * half_life_days)), F.lit(0.0))
-    vote = F.round(trust * F.pow(F.lit(0.5), age / half_life_days), 9)
+    micros = F.coalesce(F.unix_micros(when), F.lit(-(2**62)))
+    strict = half_life_days == 0
+    age = F.lit(0.0) if strict else F.greatest(F.coalesce((F.unix_micros(now) - F.unix_micros(when)) / 86_400e6, F.lit(10 * half_life_days)), F.lit(0.0)) / half_life_days
+    vote = F.lit(1.0) if strict else F.round(trust * F.pow(F.lit(0.5), age), 9)
     summed = (
-        long.withColumn("vote", vote)
+        long.withColumn("term", F.struct((-trust).alias("t"), (-micros).alias("w"), F.col(key).alias("k")))
         .withColumn("norm", F.lower(F.regexp_replace("value", r"(?U)^\s+|\s+$", "")))
         .groupBy("root_id", "field_name", "norm")
-        .agg(F.round(F.sum("vote"), 6).alias("votes"), F.min_by("value", F.struct((-F.col("vote")).alias("v"), key)).alias("value"))
+        .agg(F.round(F.sum(vote), 6).alias("votes"), F.min("term").alias("term"), F.min_by("value", "term").alias("value"))
     )
-    first = F.struct((-F.col("votes")).alias("v"), "norm")
-    return summed.groupBy("root_id", "field_name").agg(F.min_by(F.struct("value", "votes"), first).alias("m")).select("root_id", "field_name", "m.value", "m.votes")
+    first = F.col("term") if strict else F.struct((-F.col("votes")).alias("v"), "norm")
+    best = summed.groupBy("root_id", "field_name").agg(F.min_by(F.struct(F.col("term.k").alias(key), "value", "votes"), first).alias("m"))
+    return best.select("root_id", "field_name", "m.*")
 
 
 def pivoted(winners: DataFrame, fields: tuple[str, ...], value: str = "value") -> DataFrame:
@@ -102,9 +104,8 @@ FINDING_FIELDS = {
 
 
 def finding_members(findings: DataFrame) -> DataFrame:
-    """Usable fields of findings in long form with their groups: the input of the two ways to choose."""
-    once = findings.select("scvd_id", "origin", instant(F.col("provenance.scvd_normalized_at")).alias("normalized_at"), "repo", "target", "severity")
-    once = once.dropDuplicates(["scvd_id"])
-    fields = {name: F.col(path) for name, path in FINDING_FIELDS.items()}
-    long = long_fields(once, "scvd_id", fields, {"commit_sha": is_hash(F.col("repo.commit_sha"))}, ("origin", "normalized_at"))
-    return long.join(members(findings, "scvd_id", "duplicate_of"), "scvd_id")
+    """Usable fields of linked findings in long form with their groups: what the members vote with."""
+    wide = findings.select("scvd_id", "origin", instant(F.col("provenance.scvd_normalized_at")).alias("normalized_at"), *[F.col(p).alias(n) for n, p in FINDING_FIELDS.items()])
+    wide = wide.join(members(findings, "scvd_id", "duplicate_of"), "scvd_id").dropDuplicates(["scvd_id"])
+    tests = {"commit_sha": is_hash(F.col("commit_sha")), "repo_url": is_address(F.col("repo_url"))}
+    return long_fields(wide, "scvd_id", {n: F.col(n) for n in FINDING_FIELDS}, tests, ("root_id", "origin", "normalized_at"))

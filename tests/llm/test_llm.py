@@ -164,11 +164,33 @@ def test_survivors(spark):
         ("lost", "gone", "native", "High", None, None, at(None)),
         ("alone", None, None, "", None, None, at(None)),
     ]
-    long = survivors.finding_members(spark.createDataFrame(rows, kind))
-    got = {(r.root_id, r.field_name): r.scvd_id for r in survivors.best_members(long, "scvd_id", "origin", "normalized_at").collect()}
+    findings = spark.createDataFrame(rows, kind)
+    long = survivors.finding_members(findings)
+    strict = survivors.voted_values(long, "scvd_id", "origin", "normalized_at", half_life_days=0)
+    got = {(r.root_id, r.field_name): r.scvd_id for r in strict.collect()}
     assert got == {("r", "repo_url"): "r", ("r", "commit_sha"): "m", ("r", "target_path"): "r", ("r", "contract_name"): "n", ("r", "severity"): "n"}
     votes = survivors.voted_values(long, "scvd_id", "origin", "normalized_at", F.lit("2024-01-02").cast("timestamp"))
     assert survivors.pivoted(votes, ("severity",)).first().severity == "Low"
+    assert survivors.finding_members(findings.where("false")).count() == 0
+
+
+def test_strict_votes_against_sorting(spark):
+    rng = random.Random(11)
+    rows = [(f"g{rng.randrange(4)}", "f", rng.choice("ABc"), f"k{i:03d}", rng.choice(["native", "pdf", "issue", None]), rng.choice([None, 1, 2, 3])) for i in range(200)]
+    df = spark.createDataFrame(rows, "root_id string, field_name string, value string, k string, origin string, t int")
+    df = df.withColumn("t", F.col("t").cast("timestamp"))
+    order = {"native": 0, "pdf": 1, "issue": 2, None: 3}
+    want = {g: min((order[o], -(t or 0), k) for x, _, _, k, o, t in rows if x == g)[2] for g in {r[0] for r in rows}}
+    assert {r.root_id: r.k for r in survivors.voted_values(df, "k", "origin", "t", half_life_days=0).collect()} == want
+
+
+def test_what_counts_as_missing(spark):
+    bad = [None, "", " ", "-", "?", "...", "./", "/", "N.A.", "n/a", "(pending)", "TBD", "<path>", "See  report", "Unknown", "<contract name>", "—"]
+    good = ["High", "Main", "Head", "src/a.sol", "https://x/y", "<https://x/y>", "QA", "mixed", "日本"]
+    rows = spark.createDataFrame([(x,) for x in bad + good], "v string").select("v", survivors.usable(F.col("v")).alias("ok")).collect()
+    assert [r.ok for r in rows] == [False] * len(bad) + [True] * len(good)
+    links = spark.createDataFrame([("https://",), ("http:",), ("https://x/y",), ("git.example/x",)], "v string")
+    assert [r[0] for r in links.select(survivors.is_address(F.col("v"))).collect()] == [False, False, True, True]
 
 
 # 7: tokens
