@@ -246,11 +246,48 @@ def test_every_leaked_stretch_goes(spark):
     words, other = one.split(), " ".join(f"x{k}" for k in range(40))
     items = spark.createDataFrame([(1, f"Read.\n\n{one}\n\nWhich?")], "item_id int, text string")
     halves = " ".join(words[:30]), " ".join(words[30:])
-    docs = [(1, f"a {halves[0]} {other} {halves[1]} z"), (2, f"a {one} {other} {one} z"), (3, f"a {one} b {one} z")]
+    near = " ".join(words[:22]) + " " + " ".join(f"y{k}" for k in range(17)) + " " + " ".join(words[22:44])
+    docs = [(1, f"a {halves[0]} {other} {halves[1]} z"), (2, f"a {one} {other} {one} z"), (3, f"a {one} b {one} z"), (4, f"a {near} z"), (5, f"a {' '.join(words[:19])} {other} z")]
     df = spark.createDataFrame(docs, "doc_id int, text string")
     found = leaks.find_leaks(df, items)
     cleaned = {r.doc_id: r.cleaned for r in leaks.remove_leaks(df, found).collect()}
-    assert cleaned == {1: f"a  {other}  z", 2: f"a  {other}  z", 3: "a  b  z"}
+    gap = " ".join(f"y{k}" for k in range(17))
+    assert cleaned == {1: f"a  {other}  z", 2: f"a  {other}  z", 3: "a  b  z", 4: f"a  {gap}  z", 5: docs[4][1]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_cuts_leave_other_scripts_alone(seed):
+    rng = random.Random(seed)
+    one = " ".join(rng.choice(["Первый", "абзац", "ξένο", "κείμενο", "café", "naïve", "w"]) + str(rng.randrange(60)) for _ in range(45))
+    around = "Ещё\r\nодин «абзац».\r\n", "\r\n\tΤέλος ｆｉｎｅ\u00a0ок\u200b\r\n"
+    seen = one.replace("c", "с").replace("é", "e\u0301").upper().replace(" ", "\r\n", 3).replace(" ", " **", 1)
+    index = leaks.LeakIndex([(7, one)])
+    ((_, item, matched, start, end),) = index([around[0] + seen + around[1]])
+    text = around[0] + seen + around[1]
+    assert item == 7 and matched == 45 and (text[:start], text[end:]) == around
+
+
+def test_items_in_blocks_and_words_against_brute_force(spark):
+    rng = random.Random(2)
+    passages = [passage(s) for s in range(6)]
+    items = spark.createDataFrame([(k, f"Read.\n\n{p}\n\nQ?") for k, p in enumerate(passages)], "item_id int, text string")
+    docs = []
+    for k in range(40):
+        words = passages[k % 6].split()[rng.randrange(20) :][: rng.randrange(15, 40)]
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = "zz"
+        docs.append((k, " ".join(["pad"] * 9 + words + ["end"] * 9)))
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    pairs = lambda found: {(r.doc_id, r.item_id) for r in found.collect()}
+    whole = pairs(leaks.find_leaks(df, items))
+    assert whole == pairs(leaks.find_leaks(df, items, block_bytes=1)) and whole
+    index = leaks.LeakIndex([])
+
+    def holds(text, p):
+        a, b = (index.words.of([x])[0] for x in (text, p))
+        return any(e <= leaks.EDITS * m and m >= 20 for e, m, *_ in (leaks.aligned_stretches([a], [b], c)[0] for c in leaks.COSTS))
+
+    assert whole == {(k, i) for k, t in docs for i, p in enumerate(passages) if holds(t, p)}
 
 
 # 9: look-alikes
