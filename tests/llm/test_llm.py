@@ -301,7 +301,25 @@ def test_lookalikes(spark):
     assert len({form(x) for x in [same[0], *different]}) == 7
     assert form("👨\u200d👩") == "👨\u200d👩" and form("a\u200db") == "ab" and form(" \u200b ") == "" and form("ｶﾞ") == "ガ"
     assert all(form(form(x)) == form(x) for x in [*same, *different, "ё Ё ά ﬃ Ⅷ １２"])
+    assert form("ｶﾞｷﾟ a\x07\u2800b \u200b c") == "ガキ゚ a b c" and form("\u0435\u0308 \u0451 ë ĳ ǆ") == "ë ë ë ij dž"
     rows = [*enumerate(same), *enumerate(different, 10), (20, same[0]), (30, None), (31, "  "), (32, "")]
     df = spark.createDataFrame(rows, "doc_id int, text string").withColumn("form_id", F.lit(1))
     got = {tuple(r) for r in lookalikes.equal_looking_pairs(df).collect()}
     assert got == {(a, b) for b in range(4) for a in range(b)} | {(1, 20), (2, 20), (3, 20)}
+
+
+def test_transducer_refuses_conflicts():
+    form = lookalikes.Transducer()
+    assert {len(k) for k in form.table} >= {1, 2, 3} and all(form(form(k)) == form(k) for k in form.table)
+    with pytest.raises(ValueError):
+        form.add("а", "o")
+    form.add("ж", "а")
+    with pytest.raises(ValueError):
+        form.check()
+
+
+def test_copies_of_a_variant_add_no_joins(spark):
+    rows = [(k, "fine paper") for k in range(300)] + [(1000, "ﬁne paper"), (1001, "ﬁne  paper"), (1002, None)]
+    got = lookalikes.equal_looking_pairs(spark.createDataFrame(rows, "doc_id int, text string"))
+    assert {tuple(r) for r in got.collect()} == {(k, v) for k in range(300) for v in (1000, 1001)} | {(1000, 1001)}
+    assert lookalikes.equal_looking_pairs(spark.createDataFrame([], "doc_id int, text string")).count() == 0
