@@ -1,9 +1,10 @@
 """Problem 5: groups of records whose sets of word runs overlap by more than a threshold.
 
 T-occurrence search over inverted lists. A partner of a record with n distinct runs shares at least T of them. Runs
-are ordered from rare to frequent; the T - 1 most frequent ones are the record's long lists, the others its short
-lists, and a partner is on at least one short list. Short lists are merged shard by shard; what the merge finds is
-bounded by length, position and a parity bitmap, and the survivors' long lists are probed by binary search.
+are ordered from rare to frequent; the T - COUNT most frequent ones are the record's long lists, the others its short
+lists, so a partner stands on at least COUNT short lists. Short lists are merged shard by shard, occurrences are
+counted for each pair over all shards, and for pairs that occur often enough the long lists are probed by binary
+search until the whole overlap is known.
 """
 
 from __future__ import annotations
@@ -18,24 +19,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlake.operators.graph import connected_components
-from auditlake.runtime import cut_lineage, text_batches
+from auditlake.runtime import cut_lineage, in_slices
 
 RUN = 3
 #: Linked if overlap / union is above NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 3, 5
-#: Counters of the frequency sketch; it fixes the order of runs, never the result.
+#: Occurrences on short lists that make a pair a candidate. Each costs one more short list a record, and leaves far fewer pairs.
+COUNT = 4
+#: Counters of the frequency sketch; it fixes the order of runs and which lists are split, never the result.
 SKETCH_BITS = 20
 SLICES = 16
-#: Postings for one shard; a task holds one shard at a time.
+#: Postings for one shard; a task merges one shard at a time.
 SHARD_POSTINGS = 1_000_000
-#: A set's parity bitmap has 256 bits up to the first of these sizes, twice as many up to each next one; it then
-#: tells apart almost all sets without a link. Larger bitmaps fold to smaller ones, so any two can be compared.
-BITMAP_SIZES = (170, 340, 680)
+#: Postings of one list from which it is split into blocks, each pair of which is merged by itself.
+LIST_POSTINGS = 1 << 18
 #: Pairs looked at in one vector operation.
 CHUNK = 1 << 20
-#: Classes whose ids are sent to every task (8 bytes each); above it they are joined by shuffle.
-BROADCAST_CLASSES = 1_000_000
+#: Texts of one slice; their numbers fit 16 bits.
 BATCH = 1_000
+HASH_BITS = 48
 _WORDS = re.compile(r"[a-z0-9_]+").findall
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -45,9 +47,9 @@ def least_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return NUMERATOR * (a + b) // (NUMERATOR + DENOMINATOR) + 1
 
 
-def short_lists(n: np.ndarray) -> np.ndarray:
-    """How many of n runs count as short lists: all but T - 1, T being the least overlap with any partner."""
-    return n - NUMERATOR * n // DENOMINATOR
+def short_lists(n: np.ndarray, count: int = COUNT) -> np.ndarray:
+    """How many of n runs count as short lists: all but T - count, T being the least overlap with any partner."""
+    return np.minimum(n, n - NUMERATOR * n // DENOMINATOR - 1 + count)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -57,17 +59,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Distinct word runs of many texts at once, as 64-bit hashes."""
+    """Distinct word runs of many texts at once, as 48-bit hashes."""
 
     def __init__(self, run: int = RUN):
         self.run, self.codes = run, _Codes()
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, text numbers) of all runs, repeats included."""
+    def sets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, text numbers) of all runs, each once a text, by text and hash; 65 536 texts at most."""
         words = [_WORDS(t.lower()) for t in texts]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         codes = np.fromiter((c for w in words for c in map(self.codes.__getitem__, w)), np.uint64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        owner = np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
         n = len(codes) - self.run + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -75,16 +77,9 @@ class Runs:
         key = np.zeros(n, np.uint64)
         for k in range(self.run):
             key = key * _C + codes[k : k + n]
-        return mixed(key[whole]), owner[:n][whole]
-
-    def sets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same without repeats, by text and hash."""
-        hashes, owner = self.of(texts)
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        return hashes[new], owner[new]
+        both = np.sort(owner[:n][whole] << np.uint64(HASH_BITS) | mixed(key[whole]) >> np.uint64(64 - HASH_BITS))
+        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+        return both & np.uint64((1 << HASH_BITS) - 1), (both >> np.uint64(HASH_BITS)).astype(np.int64)
 
 
 class _Codes(dict):
@@ -105,21 +100,42 @@ def class_ids(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(np.add.reduceat(mixed(hashes ^ _C), starts) ^ np.bitwise_xor.reduceat(hashes * _B, starts))
 
 
+def first_of_each(owner: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.empty(0, np.int64)
+
+
 def text_of(*columns: str) -> Column:
     return F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
 
 
-def frequency_sketch(texts: DataFrame, run: int, bits: int) -> tuple[np.ndarray, int]:
-    """(log2 counts in eighths by bucket, all runs). Of fixed size: each partition counts into slices, slices are
-    summed one partial at a time, and only the 2^bits totals reach the driver."""
+def read_sets(texts: DataFrame, kind: str, run: int, bits: int) -> DataFrame:
+    """(k, class_id) of every text with a run, and (s, c): counts of runs by bucket in SLICES slices, packed.
+
+    One pass gives both; a partition counts all its texts before it yields its slices.
+    """
     width = (1 << bits) // SLICES
+    columns = ["k", "class_id", "s", "c"]
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, runs = np.zeros(1 << bits, np.int64), Runs(run)
-        for part in batches:
-            total += np.bincount((runs.of(list(part["t"]))[0] & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+        for part in in_slices(batches, BATCH):
+            hashes, owner = runs.sets(list(part["t"]))
+            if not len(hashes):
+                continue
+            total += np.bincount((hashes & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+            starts = first_of_each(owner)
+            rows = pd.DataFrame({"k": part["k"].to_numpy()[owner[starts]], "class_id": class_ids(hashes, starts).view(np.int64)})
+            yield rows.assign(s=pd.Series([None] * len(rows), dtype="Int32"), c=None)[columns]
         if total.any():
-            yield pd.DataFrame({"s": range(SLICES), "c": [zlib.compress(total[k * width : (k + 1) * width].astype("<u4").tobytes(), 1) for k in range(SLICES)]})
+            packed = [zlib.compress(total[k * width : (k + 1) * width].astype("<u4").tobytes(), 1) for k in range(SLICES)]
+            yield pd.DataFrame({"k": None, "class_id": pd.Series([None] * SLICES, dtype="Int64"), "s": pd.Series(range(SLICES), dtype="Int32"), "c": packed})[columns]
+
+    return texts.mapInPandas(read, f"k {kind}, class_id long, s int, c binary")
+
+
+def frequency_sketch(counts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
+    """(log2 counts in eighths by bucket, all runs). Slices are summed one partial at a time; 2^bits totals reach the driver."""
+    width = (1 << bits) // SLICES
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -129,61 +145,42 @@ def frequency_sketch(texts: DataFrame, run: int, bits: int) -> tuple[np.ndarray,
         yield pd.DataFrame({"s": list(sums), "c": [x.astype("<i8").tobytes() for x in sums.values()]})
 
     total = np.zeros(1 << bits, np.int64)
-    for s, c in texts.select("t").mapInPandas(count, "s int, c binary").repartition(SLICES, "s").mapInPandas(add, "s int, c binary").collect():
+    for s, c in counts.select("s", "c").repartition(SLICES, "s").mapInPandas(add, "s int, c binary").collect():
         total[s * width : (s + 1) * width] = np.frombuffer(c, "<i8")
     return np.minimum(255, 8 * np.log2(np.maximum(total, 1))).astype(np.uint8), int(total.sum())
 
 
-def parities(hashes: np.ndarray, place: np.ndarray, n: int) -> list[np.ndarray]:
-    """Parity bitmaps of n sets by level: the largest first counted, the others folded from it."""
-    words = 4 << len(BITMAP_SIZES)
-    bit = (hashes >> np.uint64(40)) & np.uint64(64 * words - 1)
-    bitmap = np.zeros((n, words), np.uint64)
-    np.bitwise_xor.at(bitmap, (place, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-    return folded(bitmap)
-
-
-def folded(bitmap: np.ndarray) -> list[np.ndarray]:
-    """A bitmap with all smaller ones, the smallest (four words) first."""
-    out = [bitmap]
-    while out[0].shape[1] > 4:
-        half = out[0].shape[1] // 2
-        out.insert(0, out[0][:, :half] ^ out[0][:, half:])
-    return out
-
-
-def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(ids, sizes, levels, bitmaps of all levels) of a blob's sets; a set has none above its own level."""
-    levels = len(BITMAP_SIZES) + 1
-    counts = np.frombuffer(blob, "<u4", levels).astype(np.int64)
-    n, at = int(counts.sum()), 4 * levels
-    ids, sizes = np.frombuffer(blob, "<u8", n, at), np.frombuffer(blob, "<u4", n, at + 8 * n)
-    at += 12 * n
-    bitmaps = [np.zeros((n, 4 << k), np.uint64) for k in range(levels)]
-    first = 0
-    for k, c in enumerate(counts):
-        own = np.frombuffer(blob, "<u8", int(c) * (4 << k), at).reshape(-1, 4 << k)
-        for j, part in enumerate(folded(own)):
-            bitmaps[j][first : first + c] = part
-        at, first = at + own.nbytes, first + int(c)
-    return ids, sizes, np.repeat(np.arange(levels), counts), bitmaps
-
-
-def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFrame:
-    """(shard, sets, runs): per batch and shard, the sets with short lists there and their postings, packed.
-
-    Equal sets of a batch are combined before the shuffle. A set is its class id, size and bitmap; a posting is a
-    run (32 bits, which can only add candidates), the set's place in the blob and the run's rank in it.
+def in_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the posting, list, side) with every posting of a list in n blocks once for each block its own one meets.
+
+    A list of one block keeps its name and has side 2; where block i meets block j, i < j, their postings are on sides
+    0 and 1 of a list named after all three, and only unlike sides are paired.
+    """
+    at = np.repeat(np.arange(len(lists)), blocks)
+    other = np.arange(len(at)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    n = blocks[at]
+    own = (mixed(ids[at] ^ _A) % n.astype(np.uint64)).astype(np.int64)
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    name = np.where(n == 1, lists[at], mixed(lists[at] ^ mixed((low << 32 | high).astype(np.uint64) + _C)))
+    return at, name, np.where(low == high, 2, own > other)
+
+
+def postings(texts: DataFrame, order: object, run: int, shards: int, list_postings: int) -> DataFrame:
+    """(shard, sets, runs): per slice and shard, the sets with short lists there and their postings, packed.
+
+    Equal sets of a slice are combined before the shuffle. A set is its class id and size (12 bytes, with the
+    posting's side), a posting a list (32 bits, which can only add candidates), the set's place in the blob and the
+    run's rank in it: 8 to 20 bytes a posting, however many shards there are.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         runs, ranks = Runs(run), order.value
         mask = np.uint64(len(ranks) - 1)
-        for part in (whole[k : k + 65_536] for whole in batches for k in range(0, len(whole), 65_536)):
+        for part in in_slices(batches, BATCH):
             hashes, owner = runs.sets(list(part["t"]))
             if not len(hashes):
                 continue
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            starts = first_of_each(owner)
             sizes = np.diff(np.r_[starts, len(hashes)])
             _, first = np.unique(ids := class_ids(hashes, starts), return_index=True)
             keep = np.zeros(len(starts), bool)
@@ -191,75 +188,67 @@ def postings(texts: DataFrame, order: object, run: int, shards: int) -> DataFram
             hashes = hashes[np.repeat(keep, sizes)]
             ids, sizes = ids[keep], sizes[keep]
             place = np.repeat(np.arange(len(ids)), sizes)
-            bitmaps = parities(hashes, place, len(ids))
-            level = np.searchsorted(BITMAP_SIZES, sizes)
-            by_rank = np.lexsort((hashes, ranks[(hashes & mask).astype(np.int64)], place))
-            hashes = hashes[by_rank]
+            often = ranks[(hashes & mask).astype(np.int64)]
+            by_rank = np.argsort((place << 8 | often).astype(np.uint32), kind="stable")  # equally frequent ones stay by hash
             rank = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            short = rank < np.repeat(short_lists(sizes), sizes)
-            hashes, place, rank = hashes[short], place[short], rank[short]
-            shard = (hashes >> np.uint64(32)) % np.uint64(shards)
+            by_rank = by_rank[short := rank < np.repeat(short_lists(sizes), sizes)]
+            lists, place, rank, often = hashes[by_rank], place[short], rank[short], often[by_rank]
+            blocks = np.ceil(np.exp2(often / 8) / list_postings).astype(np.int64)
+            side = np.full(len(lists), 2)
+            if (blocks > 1).any():
+                at, lists, side = in_blocks(lists, ids[place], blocks)
+                place, rank = place[at], rank[at]
+            shard = (mixed(lists + _B) % np.uint64(shards)).astype(np.int64)
             by_shard = np.argsort(shard, kind="stable")
-            hashes, place, rank, shard = hashes[by_shard], place[by_shard], rank[by_shard], shard[by_shard]
-            cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+            lists, place, rank, side, shard = lists[by_shard], place[by_shard], rank[by_shard], side[by_shard], shard[by_shard]
+            cuts = [*first_of_each(shard), len(shard)]
             out = []
             for a, b in zip(cuts, cuts[1:]):
-                used, local = np.unique(place[a:b], return_inverse=True)
-                by_level = np.argsort(level[used], kind="stable")
-                used, back = used[by_level], np.argsort(by_level)
-                local, found = back[local], level[used]
-                head = [np.bincount(found, minlength=len(BITMAP_SIZES) + 1).astype("<u4"), ids[used].astype("<u8"), sizes[used].astype("<u4")]
-                head += [bitmaps[k][used[found == k]].astype("<u8") for k in range(len(BITMAP_SIZES) + 1)]
-                body = hashes[a:b].astype("<u4"), local.astype("<u2"), np.minimum(rank[a:b], 65_535).astype("<u2")
-                out.append((int(shard[a]), b"".join(x.tobytes() for x in head), b"".join(x.tobytes() for x in body)))
+                used, local = np.unique(place[a:b] << 2 | side[a:b], return_inverse=True)
+                head = ids[used >> 2].astype("<u8"), (sizes[used >> 2] << 2 | used & 3).astype("<u4")
+                body = lists[a:b].astype("<u4"), local.astype("<u2"), np.minimum(rank[a:b], 65_535).astype("<u2")
+                out.append((int(shard[a]), *(b"".join(x.tobytes() for x in xs) for xs in (head, body))))
             yield pd.DataFrame(out, columns=["shard", "sets", "runs"])
 
     return texts.select("t").mapInPandas(pack, "shard int, sets binary, runs binary")
 
 
-def merged(sets: list[bytes], runs: list[bytes]) -> np.ndarray:
-    """Pairs of class ids (two columns, smaller first) that one shard's short lists and bounds leave possible."""
-    heads = [unpacked(s) for s in sets]
+def merged(sets: list[bytes], runs: list[bytes], count: int = COUNT) -> tuple[np.ndarray, ...]:
+    """(a, b, occurrences, least) of the pairs of class ids that meet on one shard's short lists, a < b.
+
+    Within a list, ordered by size, only sizes that the threshold allows are paired, and only at ranks from which the
+    least overlap can still be reached; least is how often a pair has to occur over all shards.
+    """
+    heads = [(np.frombuffer(x, "<u8", len(x) // 12), np.frombuffer(x, "<u4", len(x) // 12, len(x) // 12 * 8)) for x in sets]
     offset = np.cumsum([0, *(len(h[0]) for h in heads)])
-    parts = []
-    for k, blob in enumerate(runs):
-        n = len(blob) // 8
-        parts.append((np.frombuffer(blob, "<u4", n), np.frombuffer(blob, "<u2", n, 4 * n).astype(np.int64) + offset[k], np.frombuffer(blob, "<u2", n, 6 * n)))
+    parts = [(np.frombuffer(x, "<u4", len(x) // 8), np.frombuffer(x, "<u2", len(x) // 8, len(x) // 2).astype(np.int64) + offset[k], np.frombuffer(x, "<u2", len(x) // 8, len(x) // 8 * 6)) for k, x in enumerate(runs)]
     run, place, rank = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    ids, first, same = np.unique(np.concatenate([h[0] for h in heads]), return_index=True, return_inverse=True)
-    keep = first[same[place]] == place  # copies from several batches: one of them stands for all
-    run, place, rank = run[keep], same[place[keep]], rank[keep].astype(np.int32)
-    size, level = (np.concatenate([h[i] for h in heads])[first].astype(np.int32) for i in (1, 2))
-    bitmaps = [np.concatenate([h[3][k] for h in heads])[first] for k in range(len(BITMAP_SIZES) + 1)]
-    order = np.lexsort((size[place], run))
-    run, place, rank = run[order], place[order], rank[order]
-    n = size[place]
-    # within a list, ordered by size, the partners of k end where sizes exceed what the threshold allows
+    ids, same = np.unique(np.concatenate([h[0] for h in heads]), return_inverse=True)
+    size = np.concatenate([h[1] for h in heads]).astype(np.int64)
+    n, side, place, rank = size[place] >> 2, size[place] & 3, same[place], rank.astype(np.int64)
+    order = np.lexsort((place, n, run))
+    order = order[np.r_[True, (run[order][1:] != run[order][:-1]) | (place[order][1:] != place[order][:-1])]]  # copies from several slices stand once
+    run, place, rank, n, side = run[order], place[order], rank[order], n[order], side[order]
     lists = np.cumsum(np.r_[0, run[1:] != run[:-1]])
-    span = int(size.max()) + 1
-    until = np.searchsorted(lists * span + n, lists * span + np.minimum(n.astype(np.int64) * DENOMINATOR // NUMERATOR, span - 1), side="right")
-    count = until - np.arange(len(run)) - 1
-    found = [np.empty(0, np.int64)]
-    at = 0
-    ends = np.cumsum(count)
+    span = int(n.max()) + 1
+    until = np.searchsorted(lists * span + n, lists * span + np.minimum(n * DENOMINATOR // NUMERATOR, span - 1), side="right")
+    later = until - np.arange(len(run)) - 1
+    ends, at, found = np.cumsum(later), 0, []
     while at < len(run):
         upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
-        c = count[at:upto]
+        c = later[at:upto]
         a = np.repeat(np.arange(at, upto), c)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
         at = upto
         need = least_overlap(n[a], n[b])
-        ok = np.minimum(n[a] - rank[a], n[b] - rank[b]) >= need
-        a, b, need = place[a[ok]], place[b[ok]], need[ok]
-        apart, common = np.zeros(len(a), np.int32), np.minimum(level[a], level[b])
-        for k, bitmap in enumerate(bitmaps):
-            at_level = np.flatnonzero(common == k)
-            apart[at_level] = np.bitwise_count(bitmap[a[at_level]] ^ bitmap[b[at_level]]).sum(axis=1, dtype=np.int32)
-        ok = apart <= size[a] + size[b] - 2 * need
-        a, b = a[ok], b[ok]
-        found.append(np.unique(np.minimum(a, b) * len(ids) + np.maximum(a, b)))
-    pairs = np.unique(np.concatenate(found))
-    return np.c_[ids[pairs // len(ids)], ids[pairs % len(ids)]]
+        # of the first ``count`` shared runs, at most count - 1 lie before this one
+        before = np.minimum(np.minimum(rank[a], rank[b]), count - 1)
+        ok = (np.minimum(n[a] - rank[a], n[b] - rank[b]) + before >= need) & ((side[a] == 2) | (side[a] != side[b]))
+        x, y, need = place[a[ok]], place[b[ok]], np.minimum(need[ok], count)
+        found.append(np.stack([np.minimum(x, y) * len(ids) + np.maximum(x, y), need]))
+    pairs, first, times = np.unique(np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)]), return_index=True, return_counts=True)
+    least = np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)])[first]
+    return ids[pairs // len(ids)].view(np.int64), ids[pairs % len(ids)].view(np.int64), times, least
 
 
 def linked(a: bytes, b: bytes) -> bool:
@@ -272,21 +261,15 @@ def linked(a: bytes, b: bytes) -> bool:
     return shared >= NUMERATOR * (len(x) + len(y)) // (NUMERATOR + DENOMINATOR) + 1
 
 
-def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN) -> tuple[DataFrame, DataFrame]:
-    """(members, links) of the records with a text.
+def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int = RUN, shard_postings: int = SHARD_POSTINGS, list_postings: int = LIST_POSTINGS) -> DataFrame:
+    """(a, b), a < b: classes that occur together on enough short lists, no linked pair missing.
 
-    members: key, class_id; records with equal sets of runs share a class. links: a, b, pairs of class ids whose sets
-    overlap by more than the threshold, none missing. Null texts and texts of fewer words than a run are in no class.
-    A key that repeats belongs to the classes of all its texts. Three passes over the texts (frequencies, short
-    lists, survivors' sets) move a fraction of what one shuffle of all sets would.
+    A repeated occurrence is counted in its shard; a pair's counts meet in one combining aggregation.
     """
-    spark = df.sparkSession
-    text_batches(spark, BATCH)
-    texts = df.select(F.col(key).alias("k"), text.alias("t")).where("t is not null and k is not null")
-    sketch, total = frequency_sketch(texts, run, SKETCH_BITS)
-    order = spark.sparkContext.broadcast(sketch)
+    spark = texts.sparkSession
+    order, total = spark.sparkContext.broadcast(sketch[0]), sketch[1]
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shards = max(parts, total * (DENOMINATOR - NUMERATOR) // DENOMINATOR // SHARD_POSTINGS)
+    shards = max(parts, total * (DENOMINATOR - NUMERATOR) // DENOMINATOR // shard_postings)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, tuple[list, list]] = {}
@@ -296,32 +279,46 @@ def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN) -> tupl
                 lists[0].append(a)
                 lists[1].append(b)
         for s in list(waiting):
-            pairs = merged(*waiting.pop(s)).view(np.int64)
-            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            a, b, n, least = merged(*waiting.pop(s))
+            for k in range(0, len(a), CHUNK):
+                yield pd.DataFrame({"a": a[k : k + CHUNK], "b": b[k : k + CHUNK], "n": n[k : k + CHUNK] << 8 | least[k : k + CHUNK]})
 
-    blobs = postings(texts, order, run, shards)
-    pairs = cut_lineage(blobs.repartition(shards, "shard").mapInPandas(merge, "a long, b long").distinct())
+    blobs = postings(texts, order, run, shards, list_postings)
+    met = blobs.repartitionById(shards, "shard").mapInPandas(merge, "a long, b long, n long")
+    # a count and the number it must reach travel in one column: the sum of counts, and the same low byte in all
+    counted = met.groupBy("a", "b").agg(F.sum(F.shiftright("n", 8)).alias("times"), F.max(F.col("n").bitwiseAND(255)).alias("least"))
+    return counted.where("times >= least").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    few = wanted.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES
-    chosen = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.collect()], np.int64)) if few else None)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs, some = Runs(run), chosen.value
-        for part in batches:
-            hashes, owner = runs.sets(list(part["t"]))
-            if not len(hashes):
-                continue
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            ids = class_ids(hashes, starts).view(np.int64)
-            bounds = [*starts, len(hashes)]
-            asked = np.ones(len(ids), bool) if some is None else np.isin(ids, some)
-            raw = [hashes[a:b].astype("<u8").tobytes() if ok else None for ok, a, b in zip(asked, bounds, bounds[1:])]
-            yield pd.DataFrame({"k": part["k"].to_numpy()[owner[starts]], "class_id": ids, "runs": pd.Series(raw, dtype=object)})
+def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """(members, links) of the records with a text.
 
+    members: key, class_id; records with equal sets of runs share a class. links: a, b, pairs of class ids whose sets
+    overlap by more than the threshold, none missing. Null texts and texts of fewer words than a run are in no class.
+    A key that repeats belongs to the classes of all its texts. Two passes over the texts (classes and frequencies,
+    short lists) and one over those that a candidate needs; nothing that grows with the texts reaches the driver.
+    """
+    texts = df.select(F.col(key).alias("k"), text.alias("t")).where("t is not null and k is not null")
     kind = df.schema[key].dataType.simpleString()
-    sets = cut_lineage(texts.mapInPandas(assign, f"k {kind}, class_id long, runs binary"))
-    one = sets.where("runs is not null").groupBy("class_id").agg(F.first("runs").alias("runs"))
+    seen = cut_lineage(read_sets(texts, kind, run, SKETCH_BITS))
+    members = seen.where("s is null").select("k", "class_id")
+    pairs = cut_lineage(candidate_pairs(texts, frequency_sketch(seen.where("s is not null"), SKETCH_BITS), run, **sizes))
+
+    # of each class that a candidate names, one record's text gives the set
+    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    chosen = members.join(wanted, "class_id", "left_semi").groupBy("class_id").agg(F.min("k").alias("k"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs = Runs(run)
+        for part in in_slices(batches, BATCH):
+            hashes, owner = runs.sets(list(part["t"]))
+            starts = first_of_each(owner)
+            ids, bounds = class_ids(hashes, starts).view(np.int64), [*starts, len(hashes)]
+            rows = pd.DataFrame({"class_id": ids, "runs": [hashes[a:b].astype("<u8").tobytes() for a, b in zip(bounds, bounds[1:])]})
+            yield rows[ids == part["class_id"].to_numpy()[owner[starts]]]  # a repeated key has other texts too
+
+    one = texts.join(chosen, "k").select("t", "class_id").mapInPandas(sets, "class_id long, runs binary")
+    one = cut_lineage(one.groupBy("class_id").agg(F.first("runs").alias("runs")))
 
     @F.pandas_udf("boolean")
     def overlaps(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -330,16 +327,16 @@ def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN) -> tupl
     left = one.select(F.col("class_id").alias("a"), F.col("runs").alias("ra"))
     right = one.select(F.col("class_id").alias("b"), F.col("runs").alias("rb"))
     links = pairs.join(left, "a").join(right, "b").where(overlaps("ra", "rb")).select("a", "b")
-    return sets.select(F.col("k").alias(key), "class_id"), links
+    return members.withColumnRenamed("k", key), links
 
 
-def overlap_groups(df: DataFrame, key: str, text: Column, run: int = RUN) -> DataFrame:
+def overlap_groups(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes: int) -> DataFrame:
     """(key, class_id, group_id) of every record with a text of at least one run.
 
     Groups are everything linked directly or through others; copies share a class, so however many there are, they
     add no pairs. A key whose texts lie in several classes joins them.
     """
-    members, links = overlap_links(df, key, text, run)
+    members, links = overlap_links(df, key, text, run, **sizes)
     links = cut_lineage(links)
     members = members.distinct()
     several = members.groupBy(key).agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a <> b")
