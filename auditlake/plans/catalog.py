@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import text as T
 from auditlake.functions.headings import md_headings
 from auditlake.operators import classify, dedup, issues, query, repos, sections, segment, validate
-from auditlake.runtime import table, text_batches
+from auditlake.runtime import table
 from auditlake.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,7 +226,7 @@ def q_embed_text(spark: SparkSession, d: str) -> DataFrame:
 
 @register("""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM report),
 k AS (SELECT doc_id, i, rtrim(regexp_replace(regexp_replace(line, '<br\\s*/?>', ' ', 'gi'), '</?span[^>]*>', '', 'gi'), ' ' || chr(9)) AS line FROM l
-WHERE NOT regexp_matches(line, '^\\{\\d+\\}\\s*-+$') AND NOT regexp_matches(line, '(?i)^[! ]?\\[\\]\\([^)]*\\.(?:jpe?g|png|gif)\\)$'))
+WHERE NOT regexp_matches(trim(line, ' ' || chr(9) || chr(13)), '^\\{\\d+\\}\\s*-+$') AND NOT regexp_matches(trim(line, ' ' || chr(9) || chr(13)), '(?i)^!?\\[\\]\\([^)]*\\.(?:jpe?g|png|gif)\\)$'))
 SELECT doc_id, md5(trim(string_agg(line, chr(10) ORDER BY i), ' ' || chr(9) || chr(10)) || chr(10)) AS digest FROM k GROUP BY doc_id""")
 def q_clean_markdown(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "report").select("doc_id", F.md5(T.clean_markdown(F.col("markdown"))).alias("digest"))
@@ -253,7 +253,7 @@ _HAS = lambda words: "CASE " + " ".join(f"WHEN len(list_filter({_LOW}, lambda x:
 
 
 @register(f"""SELECT DISTINCT repo_url, issue_no, CASE WHEN len(list_filter({_LOW}, lambda x: x IN ('invalid', 'unsatisfactory'))) > 0 THEN NULL ELSE {_HAS(issues.SEVERITY_LABELS)} END AS severity,
-{_HAS(issues.CATEGORY_LABELS)} AS category FROM issues WHERE labels IS NOT NULL""")
+CASE WHEN len(list_filter({_LOW}, lambda x: x IN ('invalid', 'unsatisfactory'))) = 0 THEN {_HAS(issues.CATEGORY_LABELS)} END AS category FROM issues WHERE labels IS NOT NULL""")
 def q_issue_severity(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "issues").where("labels is not null")
     return rows.select("repo_url", "issue_no", issues.label_severity(F.col("labels")).alias("severity"), issues.label_category(F.col("labels")).alias("category")).distinct()
@@ -330,9 +330,7 @@ fence AS (SELECT *, (count(*) FILTER (regexp_matches(line, '^ {0,3}(```|~~~)'))
 SELECT doc_id, i::INTEGER AS start_line, length(regexp_extract(line, '^(#{1,6})\\s', 1))::INTEGER AS level FROM fence
 WHERE inside = 0 AND regexp_matches(line, '^#{1,6}\\s+\\S')""")
 def q_md_headings(spark: SparkSession, d: str) -> DataFrame:
-    text_batches(spark, 256)
-    lines = table(spark, d, "report").select("doc_id", T.text_lines(F.col("markdown")).alias("lines"), F.explode(md_headings(F.col("markdown"))).alias("h"))
-    return lines.where(F.element_at("lines", F.col("h.start_line") + 1).rlike("^#")).select("doc_id", "h.start_line", "h.level")
+    return table(spark, d, "report").select("doc_id", F.inline(md_headings(F.col("markdown")))).select("doc_id", "start_line", "level")
 
 
 @register("""WITH f AS (SELECT DISTINCT scvd_id, f.doc_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin = 'issue') SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id""")
@@ -440,7 +438,7 @@ def q_llm_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("""WITH r AS (SELECT o_orderkey AS k FROM orders) SELECT k, 'Text of ' || k || chr(10) AS description, '**Impact:** none ' || (k % 7) || chr(10) AS impact,
-'## Recommendation' || chr(10) || chr(10) || 'Pay ' || k || chr(10) AS recommendation, '**Vendor:**' || chr(10) || 'Seen.' || chr(10) AS other FROM r""")
+'## Recommendation' || chr(10) || chr(10) || 'Pay ' || k || chr(10) AS recommendation, '**Vendor:** Seen.' || chr(10) AS other FROM r""")
 def q_md_roundtrip_split(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     body = F.concat(F.lit("# Finding\n\nText of "), k, F.lit("\n\n**Impact:** none "), k % 7, F.lit("\n\n## Recommendation\n\nPay "), k, F.lit("\n\n**Vendor:** Seen.\n"))

@@ -19,10 +19,11 @@ def finding_records(reports: DataFrame, run_ts: str, rules: list[classify.Rule]
 
 def deduplicated(records: DataFrame, vectors: DataFrame | None = None, threshold: float = dedup.THRESHOLD, boost: float = dedup.HARD_BOOST, embed: Column | None = None) -> DataFrame:
     """records with canonical_id and decision; vectors (scvd_id, v) come from a model, else from hashed n-grams."""
-    text = T.embed_text(F.col("title"), F.col("description"), F.col("impact"), F.col("recommendation"), F.col("poc"), F.col("other")) if embed is None else embed
+    parts = [F.col(f"sections.{c}_md") for c in ("description", "impact", "recommendation", "poc", "other")]
+    text = T.embed_text(F.col("title"), F.col("description_md"), *parts) if embed is None else embed
     vectors = vectors if vectors is not None else dedup.hashed_vectors(records, "scvd_id", text)
     vectors = cut_lineage(vectors)
     pairs = dedup.similar_pairs(vectors, "scvd_id", "v", threshold - boost)
-    rows = records.select("scvd_id", F.col("repo.url").alias("repo_url"), F.col("repo.commit_sha").alias("commit_sha"), "path", F.col("swc").alias("tags"))
+    rows = records.select("scvd_id", F.col("repo.url").alias("repo_url"), F.col("repo.commit_sha").alias("commit_sha"), F.col("target.path").alias("path"), F.col("taxonomy.swc").alias("tags"))
     scored = dedup.scored_pairs(pairs, rows, "scvd_id", threshold, boost)
     return records.join(dedup.decisions(records, "scvd_id", scored.select("a", "b")), "scvd_id")

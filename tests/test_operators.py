@@ -69,7 +69,7 @@ def test_sections(spark):
     body = "# T\n\npre\n\n**Impact:** i\n\n## Proof of Concept\n```\n**Not:** a label\n```\n\n**Vendor:** seen\n"
     df = spark.createDataFrame([("k", body), ("plain", "just text\n"), ("empty", "")], "k string, body string")
     got = {r.k: r for r in sections.split_sections(df, "k", "body").collect()}
-    assert got["k"].description == "pre\n" and got["k"].impact == "**Impact:** i\n" and "Not" in got["k"].poc and got["k"].other == "**Vendor:**\nseen\n"
+    assert got["k"].description == "pre\n" and got["k"].impact == "**Impact:** i\n" and "Not" in got["k"].poc and got["k"].other == "**Vendor:** seen\n"
     assert got["plain"].description == "just text\n" and got["empty"].description is None
 
 
