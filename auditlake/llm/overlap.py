@@ -35,6 +35,8 @@ SHARD_POSTINGS = 1_000_000
 LIST_POSTINGS = 1 << 18
 #: Pairs looked at in one vector operation.
 CHUNK = 1 << 20
+#: Chosen records up to this many (some 100 bytes each) go to every task; more meet the texts by shuffle.
+BROADCAST_ROWS = 500_000
 #: Texts of one slice; their numbers fit 16 bits.
 BATCH = 1_000
 HASH_BITS = 48
@@ -251,9 +253,19 @@ def merged(sets: list[bytes], runs: list[bytes], count: int = COUNT) -> tuple[np
     return ids[pairs // len(ids)].view(np.int64), ids[pairs % len(ids)].view(np.int64), times, least
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) * 8 // HASH_BITS, 8), np.uint8)
+    out[:, : HASH_BITS // 8] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BITS // 8)
+    return out.view("<u8").ravel()
+
+
 def linked(a: bytes, b: bytes) -> bool:
     """Whether two sorted sets overlap by more than the threshold: the smaller one's runs are probed in the larger."""
-    x, y = sorted((np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")), key=len)
+    x, y = sorted((unpacked(a), unpacked(b)), key=len)
     if not len(x):
         return False
     at = np.searchsorted(y, x)
@@ -306,7 +318,9 @@ def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes
 
     # of each class that a candidate names, one record's text gives the set
     wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
-    chosen = members.join(wanted, "class_id", "left_semi").groupBy("class_id").agg(F.min("k").alias("k"))
+    chosen = cut_lineage(members.join(wanted, "class_id", "left_semi").groupBy("class_id").agg(F.min("k").alias("k")))
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         runs = Runs(run)
@@ -314,11 +328,10 @@ def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes
             hashes, owner = runs.sets(list(part["t"]))
             starts = first_of_each(owner)
             ids, bounds = class_ids(hashes, starts).view(np.int64), [*starts, len(hashes)]
-            rows = pd.DataFrame({"class_id": ids, "runs": [hashes[a:b].astype("<u8").tobytes() for a, b in zip(bounds, bounds[1:])]})
+            rows = pd.DataFrame({"class_id": ids, "runs": [packed(hashes[a:b]) for a, b in zip(bounds, bounds[1:])]})
             yield rows[ids == part["class_id"].to_numpy()[owner[starts]]]  # a repeated key has other texts too
 
-    one = texts.join(chosen, "k").select("t", "class_id").mapInPandas(sets, "class_id long, runs binary")
-    one = cut_lineage(one.groupBy("class_id").agg(F.first("runs").alias("runs")))
+    one = texts.join(chosen, "k").select("t", "class_id").mapInPandas(sets, "class_id long, runs binary").repartition("class_id")
 
     @F.pandas_udf("boolean")
     def overlaps(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -326,7 +339,7 @@ def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes
 
     left = one.select(F.col("class_id").alias("a"), F.col("runs").alias("ra"))
     right = one.select(F.col("class_id").alias("b"), F.col("runs").alias("rb"))
-    links = pairs.join(left, "a").join(right, "b").where(overlaps("ra", "rb")).select("a", "b")
+    links = pairs.join(left, "a").join(right, "b").where(overlaps("ra", "rb")).select("a", "b").distinct()
     return members.withColumnRenamed("k", key), links
 
 
