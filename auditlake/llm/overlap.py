@@ -253,6 +253,35 @@ def merged(sets: list[bytes], runs: list[bytes], count: int = COUNT) -> tuple[np
     return ids[pairs // len(ids)].view(np.int64), ids[pairs % len(ids)].view(np.int64), times, least
 
 
+def packed_pairs(a: np.ndarray, b: np.ndarray, times: np.ndarray, least: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    """(part, blob) of pairs by the part of their first class: it stands once, its partners (9 bytes each) follow."""
+    part = (mixed(a.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((a, part))
+    a, b, part = a[order], b[order], part[order]
+    code = (np.minimum(times, 63) << 2 | least - 1)[order]  # a pair that occurs COUNT times is a candidate, so 63 are enough
+    out, cuts = [], [*first_of_each(part), len(part)]
+    for x, y in zip(cuts, cuts[1:]):
+        first = first_of_each(a[x:y])
+        pieces = (np.array([len(first)], "<u4"), a[x:y][first].astype("<i8"), np.diff(np.r_[first, y - x]).astype("<u4"), b[x:y].astype("<i8"), code[x:y].astype(np.uint8))
+        out.append((int(part[x]), b"".join(p.tobytes() for p in pieces)))
+    return out
+
+
+def counted_pairs(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of all blobs of a part that occur often enough in total."""
+    parts = []
+    for x in blobs:
+        n = int(np.frombuffer(x, "<u4", 1)[0])
+        times, at = np.frombuffer(x, "<u4", n, 4 + 8 * n), 4 + 12 * n
+        m = (len(x) - at) // 9
+        parts.append((np.repeat(np.frombuffer(x, "<i8", n, 4), times), np.frombuffer(x, "<i8", m, at), np.frombuffer(x, np.uint8, m, at + 8 * m)))
+    a, b, code = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    pairs, first, same = np.unique(place[: len(a)] * len(ids) + place[len(a) :], return_index=True, return_inverse=True)
+    often = np.bincount(same, code >> 2) > (code[first] & 3)
+    return ids[pairs[often] // len(ids)], ids[pairs[often] % len(ids)]
+
+
 def packed(hashes: np.ndarray) -> bytes:
     return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8].tobytes()
 
@@ -276,7 +305,7 @@ def linked(a: bytes, b: bytes) -> bool:
 def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int = RUN, shard_postings: int = SHARD_POSTINGS, list_postings: int = LIST_POSTINGS) -> DataFrame:
     """(a, b), a < b: classes that occur together on enough short lists, no linked pair missing.
 
-    A repeated occurrence is counted in its shard; a pair's counts meet in one combining aggregation.
+    Repeated occurrences are counted in their shard, and a pair's counts meet in the part of its first class.
     """
     spark = texts.sparkSession
     order, total = spark.sparkContext.broadcast(sketch[0]), sketch[1]
@@ -291,15 +320,21 @@ def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int =
                 lists[0].append(a)
                 lists[1].append(b)
         for s in list(waiting):
-            a, b, n, least = merged(*waiting.pop(s))
+            a, b, times, least = merged(*waiting.pop(s))
             for k in range(0, len(a), CHUNK):
-                yield pd.DataFrame({"a": a[k : k + CHUNK], "b": b[k : k + CHUNK], "n": n[k : k + CHUNK] << 8 | least[k : k + CHUNK]})
+                yield pd.DataFrame(packed_pairs(a[k : k + CHUNK], b[k : k + CHUNK], times[k : k + CHUNK], least[k : k + CHUNK], shards), columns=["part", "pairs"])
 
-    blobs = postings(texts, order, run, shards, list_postings)
-    met = blobs.repartitionById(shards, "shard").mapInPandas(merge, "a long, b long, n long")
-    # a count and the number it must reach travel in one column: the sum of counts, and the same low byte in all
-    counted = met.groupBy("a", "b").agg(F.sum(F.shiftright("n", 8)).alias("times"), F.max(F.col("n").bitwiseAND(255)).alias("least"))
-    return counted.where("times >= least").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: dict[int, list[bytes]] = {}
+        for part in batches:
+            for p, x in zip(part["part"], part["pairs"]):
+                waiting.setdefault(p, []).append(x)
+        for p in list(waiting):
+            a, b = counted_pairs(waiting.pop(p))
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    met = postings(texts, order, run, shards, list_postings).repartitionById(shards, "shard").mapInPandas(merge, "part int, pairs binary")
+    return met.repartitionById(shards, "part").mapInPandas(count, "a long, b long")
 
 
 def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes: int) -> tuple[DataFrame, DataFrame]:
