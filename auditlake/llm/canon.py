@@ -164,8 +164,9 @@ def match_values(
     def agrees(words: pd.Series, entry: pd.Series, score: pd.Series) -> pd.Series:
         return pd.Series([aligned(*x) for x in zip(words, entry, score)], dtype=bool)
 
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: the alignment costs more than its few bytes suggest
     best = (
-        hits.where(agrees("words", "entry", "score"))
+        hits.repartition(parts, "field_name", "words").where(agrees("words", "entry", "score"))
         .groupBy("field_name", "words")
         .agg(F.slice(F.sort_array(F.collect_list(F.struct("score", (-F.col("canon_id")).alias("minus_id"))), False), 1, 2).alias("top"))
         .select(

@@ -27,7 +27,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     entries = table(spark, d, "canon_values")
     mapped = canon.map_fields(table(spark, d, "findings"), "scvd_id", CANON_FIELDS, entries)
     exact = entries.select("field_name", F.col("canon_value").alias("value"))
-    return mapped.join(F.broadcast(exact), ["field_name", "value"], "left_anti").select("scvd_id", "field_name", "canon_id").distinct()
+    return mapped.join(exact, ["field_name", "value"], "left_anti").select("scvd_id", "field_name", "canon_id").distinct()
 
 
 def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:

@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlake.runtime import text_batches
 
 OVERLAP = 200
 _HEADING = re.compile(r"^#{1,6}[ \t]", re.M)
@@ -129,7 +128,6 @@ def split_items(df: DataFrame, text: str, limit: int, overlap: int = OVERLAP, ke
     Null texts give no piece; empty ones and those within the limit give one. Keys that repeat give repeated pieces
     (drop redelivered rows first). Only texts above the limit leave the JVM; nothing is shuffled.
     """
-    text_batches(df.sparkSession, 128)
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     base = df.select(*named, F.col(text).alias("_text")).where("_text is not null")
     short = base.where(F.char_length("_text") <= limit).select(

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from auditlake.runtime import text_batches
+from auditlake.runtime import SLICE_ROWS
+
 
 #: Fixed value: the pattern that splits text before the merges of the byte-level vocabularies.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -212,7 +213,6 @@ def encode_texts(df: DataFrame, text: str = "text", into: str = "ids", path: str
     No shuffle: one pass, the vocabulary (under 1 MB, fixed by its file) goes to the executors as a broadcast.
     """
     spark = df.sparkSession
-    text_batches(spark)
     with open(path, "rb") as f:
         content = spark.sparkContext.broadcast(f.read())
 
@@ -220,6 +220,7 @@ def encode_texts(df: DataFrame, text: str = "text", into: str = "ids", path: str
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = Encoder(vocabulary(content.value))
         for texts in batches:
-            yield pd.Series([encode(t) for t in texts], dtype=object)
+            for k in range(0, len(texts), SLICE_ROWS):
+                yield pd.Series([encode(t) for t in texts.iloc[k : k + SLICE_ROWS]], dtype=object)
 
     return df.withColumn(into, ids(F.col(text)))

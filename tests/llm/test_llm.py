@@ -109,6 +109,12 @@ def test_markup():
     assert {k: clean(k) for k in cases} == cases
 
 
+def test_residue_goes_and_short_paragraphs_stay():
+    clean = markup.Cleaner()
+    assert clean("One.\n\n<div>\n}}\n</div>\n\n|}\n\nNo\n\n***\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n```\n}\n\n}\n```")[0] == "One.\n\nNo\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n```\n}\n\n}\n```"
+    assert markup.Cleaner.between_surge_and_dive("a\n\n--\n--\n\nb\n--") == "a\n\nb\n--"
+
+
 def test_markup_table(spark):
     df = spark.createDataFrame([(1, "<i>x</i>", "c"), (2, None, "c"), (3, "", "c"), (4, "a" * 200_000, "c")], "id int, text string, clean string")
     got = {r.id: r.markups for r in markup.clean_texts(df, "text").collect()}
