@@ -44,7 +44,11 @@ def with_ids(df: DataFrame, key: str, order: str) -> DataFrame:
 
 def exact_signatures(df: DataFrame, key: str, text: Column) -> DataFrame:
     """(key, signature, canonical, n): SHA-256 of each text, the smallest key with it, and how many have it."""
-    signed = df.select(key, F.sha2(text, 256).alias("signature"))
+    return signature_groups(df.select(key, F.sha2(text, 256).alias("signature")), key)
+
+
+def signature_groups(signed: DataFrame, key: str) -> DataFrame:
+    """The same for texts that are signed already: (key, signature)."""
     groups = signed.groupBy("signature").agg(F.min(key).alias("canonical"), F.count("*").alias("n"))
     return signed.join(groups, "signature").select(key, "signature", "canonical", "n")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,12 +42,16 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return q_segments_of_reports(spark, d).groupBy("severity").agg(F.sum("n").alias("n"))
+    return q_segments_by_severity(spark, d)
 
 
 def _findings(spark: SparkSession, d: str) -> DataFrame:
-    """Findings with redelivered rows once."""
-    return table(spark, d, "findings").dropDuplicates(["scvd_id"])
+    return table(spark, d, "findings")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """Redelivered rows once; their content is the same, so conditions and projections come first."""
+    return rows.dropDuplicates(["scvd_id"])
 
 
 _ONCE = "f AS (SELECT * FROM findings QUALIFY row_number() OVER (PARTITION BY scvd_id ORDER BY loaded_at DESC) = 1)"
@@ -60,31 +64,31 @@ _RANK = "CASE lower(severity) WHEN 'informational' THEN 0 WHEN 'not critical' TH
 @register(f"""WITH {_ONCE} SELECT scvd_id, title FROM f
 WHERE contains(lower(array_to_string(list_filter([title, description_md, recommendation_md, poc_md], lambda x: x IS NOT NULL AND x <> ''), ' ')), 'withdrawal queue')""")
 def q_findings_text_search(spark: SparkSession, d: str) -> DataFrame:
-    return _findings(spark, d).where(query.Search(q="Withdrawal Queue").predicate()).select("scvd_id", "title")
+    return _once(_findings(spark, d).where(query.Search(q="Withdrawal Queue").predicate()).select("scvd_id", "title"))
 
 
 @register(f"""WITH {_ONCE} SELECT scvd_id, severity, target.chain AS chain FROM f
 WHERE lower(coalesce(severity, '')) = 'high' AND lower(coalesce(target.chain, '')) = 'borealis' AND contains(lower(coalesce(repo.url, '')), 'ledgerforge')""")
 def q_findings_multi_filter(spark: SparkSession, d: str) -> DataFrame:
     search = query.Search(severity="HIGH", chain="Borealis", repo="LedgerForge")
-    return _findings(spark, d).where(search.predicate()).select("scvd_id", "severity", F.col("target.chain").alias("chain"))
+    return _once(_findings(spark, d).where(search.predicate()).select("scvd_id", "severity", F.col("target.chain").alias("chain")))
 
 
 @register(f"""WITH {_ONCE} SELECT scvd_id FROM f WHERE list_contains(list_transform(taxonomy.swc, lambda x: lower(x)), 'swc-107')""")
 def q_findings_by_class(spark: SparkSession, d: str) -> DataFrame:
-    return _findings(spark, d).where(query.Search(swc="swc-107").predicate()).select("scvd_id")
+    return _once(_findings(spark, d).where(query.Search(swc="swc-107").predicate()).select("scvd_id"))
 
 
 @register(f"""WITH {_ONCE} SELECT scvd_id FROM f WHERE provenance.scvd_normalized_at::TIMESTAMPTZ >= TIMESTAMPTZ '2023-01-01 00:00:00+00'
 AND provenance.scvd_normalized_at::TIMESTAMPTZ < TIMESTAMPTZ '2023-07-01 00:00:00+00'""")
 def q_findings_time_range(spark: SparkSession, d: str) -> DataFrame:
     search = query.Search(since="2023-01-01T00:00:00Z", until="2023-07-01T00:00:00Z")
-    return _findings(spark, d).where(search.predicate()).select("scvd_id")
+    return _once(_findings(spark, d).where(search.predicate()).select("scvd_id"))
 
 
 @register(f"""WITH {_ONCE} SELECT scvd_id, {_RANK} AS sev_rank FROM f ORDER BY sev_rank DESC, scvd_id LIMIT 100 OFFSET 200""")
 def q_findings_sort_severity_page(spark: SparkSession, d: str) -> DataFrame:
-    rows = _findings(spark, d).select("scvd_id", "severity", T.severity_rank(F.col("severity")).alias("sev_rank"))
+    rows = _once(_findings(spark, d).select("scvd_id", "severity", T.severity_rank(F.col("severity")).alias("sev_rank")))
     return query.page(query.ordered(rows, "severity", "desc", "scvd_id"), 200, 100).select("scvd_id", "sev_rank")
 
 
@@ -133,7 +137,8 @@ def q_dashboard_kpis(spark: SparkSession, d: str) -> DataFrame:
 row_number() OVER (PARTITION BY doc_id ORDER BY finding_index, scvd_id) AS place FROM f""")
 def q_dashboard_table(spark: SparkSession, d: str) -> DataFrame:
     by = W.partitionBy("doc_id").orderBy("finding_index", "scvd_id")
-    return _findings(spark, d).select("doc_id", "finding_index", "title", F.coalesce(T.absent(F.col("severity")), F.lit("unknown")).alias("severity"), F.row_number().over(by).alias("place"))
+    rows = _once(_findings(spark, d).select("scvd_id", "doc_id", "finding_index", "title", "severity"))
+    return rows.select("doc_id", "finding_index", "title", F.coalesce(T.absent(F.col("severity")), F.lit("unknown")).alias("severity"), F.row_number().over(by).alias("place"))
 
 
 @register("""SELECT scvd_id, doc_id, title, target.chain AS "target.chain", target.path AS "target.path", repo.url AS "repo.url", repo.commit_sha AS "repo.commit_sha",
@@ -202,14 +207,25 @@ def q_iso_instant(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "findings").select("scvd_id", F.unix_micros(T.iso_instant(F.col("provenance.scvd_normalized_at"))).alias("micros"))
 
 
-_SIGN = "sha256(concat_ws(chr(10), {0}))".format(", ".join(f"trim(regexp_replace(coalesce({c}, ''), '\\s+', ' ', 'g'))" for c in ("title", "description_md", "recommendation_md")))
+_SPACE = "[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
+def _trimmed(sql: str) -> str:
+    return f"regexp_replace({sql}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
 
+def _signature_sql() -> str:
+    part = lambda c: _trimmed(f"regexp_replace(coalesce({c}, ''), '{_SPACE}+', ' ', 'g')") if c else "''"
+    parts = ", ".join(map(part, ("title", "description_md", "", "recommendation_md", "poc_md", "target.path", "repo.relative_file")))
+    return "sha256(" + _trimmed(f"array_to_string([{parts}, coalesce(array_to_string(taxonomy.swc, ' '), '')], chr(10))") + ")"
 
-@register(f"""WITH s AS (SELECT scvd_id, {_SIGN} AS signature FROM (SELECT DISTINCT scvd_id, title, description_md, recommendation_md FROM findings))
+
+@register(f"""WITH {_ONCE}, s AS (SELECT scvd_id, {_signature_sql()} AS signature FROM f)
 SELECT scvd_id, signature, min(scvd_id) OVER (PARTITION BY signature) AS canonical, count(*) OVER (PARTITION BY signature) AS n FROM s""")
 def q_sha_signature_groups(spark: SparkSession, d: str) -> DataFrame:
-    parts = [F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " ")) for c in ("title", "description_md", "recommendation_md")]
-    return dedup.exact_signatures(_findings(spark, d), "scvd_id", F.concat_ws("\n", *parts))
+    text = T.signature_text(*[F.col(c) for c in ("title", "description_md")], F.lit(None).cast("string"), *[F.col(c) for c in ("recommendation_md", "poc_md", "target.path", "repo.relative_file", "taxonomy.swc")])
+    signed = _once(_findings(spark, d).select("scvd_id", F.sha2(text, 256).alias("signature")))
+    return dedup.signature_groups(signed, "scvd_id")
 
 
 @register("""SELECT doc_id, sha256(text) AS signature, min(doc_id) OVER (PARTITION BY sha256(text)) AS canonical, count(*) OVER (PARTITION BY sha256(text)) AS n
@@ -218,10 +234,24 @@ def q_exact_dup_canonical(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_signatures(table(spark, d, "documents").where("text is not null"), "doc_id", F.col("text"))
 
 
-@register(f"""WITH {_ONCE} SELECT scvd_id, length(array_to_string(list_filter([title, description_md, recommendation_md, poc_md], lambda x: x IS NOT NULL AND x <> ''), chr(10) || chr(10))) AS n_chars FROM f""")
+_PARTS = "array_to_string(list_filter([title, description_md, recommendation_md, poc_md], lambda x: x IS NOT NULL AND x <> ''), chr(10) || chr(10))"
+
+
+@register(f"""WITH {_ONCE} SELECT scvd_id, md5({_trimmed(_PARTS)}) AS digest FROM f""")
 def q_embed_text(spark: SparkSession, d: str) -> DataFrame:
     text = T.embed_text(*[F.col(c) for c in ("title", "description_md", "recommendation_md", "poc_md")])
-    return _findings(spark, d).select("scvd_id", F.char_length(text).cast("bigint").alias("n_chars"))
+    return _once(_findings(spark, d).select("scvd_id", F.md5(text).alias("digest")))
+
+
+@register("""WITH b AS (SELECT scvd_id, CASE WHEN severity IS NULL THEN title || ' Type: x' ELSE '7. ' || title || ' Severity: ' || severity || ' Type: y' END AS heading, title FROM findings)
+SELECT scvd_id, regexp_replace(trim(string_split(title, 'Type:')[1], ' '), '^\\s*\\d+\\.\\s*', '') AS cleaned, 'Row ' || left(scvd_id, 4) AS by_row FROM b""")
+def q_cleaned_heading(spark: SparkSession, d: str) -> DataFrame:
+    """Headings with metadata run into them, and headings that only repeat one, for which the title row counts."""
+    title, none = F.col("title"), F.lit(None).cast("string")
+    heading = F.when(F.col("severity").isNull(), F.concat(title, F.lit(" Type: x"))).otherwise(F.concat(F.lit("7. "), title, F.lit(" Severity: "), F.col("severity"), F.lit(" Type: y")))
+    row = F.concat(F.lit("text\n| 6. Not this |\n | 7. Row<br>"), F.substring("scvd_id", 1, 4), F.lit(" | x |\n| 7. Nor this |"))
+    repeated = T.cleaned_heading(F.lit("7. T (from Detailed Findings)"), F.lit(7), row)
+    return _findings(spark, d).select("scvd_id", T.cleaned_heading(heading, F.lit(7), none).alias("cleaned"), repeated.alias("by_row"))
 
 
 @register("""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM report),
@@ -260,9 +290,9 @@ def q_issue_severity(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register(f"""WITH o AS (SELECT * FROM issues WHERE pull_request IS NULL AND {_INCLUDED} QUALIFY row_number() OVER (PARTITION BY repo_url, issue_no ORDER BY opened_at DESC, title DESC) = 1)
-SELECT repo_url, count(*) AS n_sections, min(issue_no) AS first_issue, max(issue_no) AS last_issue FROM o GROUP BY repo_url""")
+SELECT repo_url, 'github:' || regexp_extract(repo_url, '([^/]+/[^/]+?)/*$', 1) AS doc_id, count(*) AS n_sections, min(issue_no) AS first_issue, max(issue_no) AS last_issue FROM o GROUP BY repo_url""")
 def q_issue_reports(spark: SparkSession, d: str) -> DataFrame:
-    return issues.issue_reports(table(spark, d, "issues")).drop("text_chars")
+    return issues.issue_reports(table(spark, d, "issues")).select("repo_url", "doc_id", "n_sections", "first_issue", "last_issue")
 
 
 # vectors
@@ -322,104 +352,111 @@ def q_jaccard_tags(spark: SparkSession, d: str) -> DataFrame:
     return x.join(y, F.col("b") == F.col("a") + 1).select("a", "b", F.round(dedup.jaccard(F.col("pa"), F.col("pb")), 6).alias("jac"))
 
 
-# segmentation
+# segmentation: every query reads the whole report table
 
 
-@register("""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) - 1 AS i FROM report),
-fence AS (SELECT *, (count(*) FILTER (regexp_matches(line, '^ {0,3}(```|~~~)')) OVER (PARTITION BY doc_id ORDER BY i)) % 2 AS inside FROM l)
-SELECT doc_id, i::INTEGER AS start_line, length(regexp_extract(line, '^(#{1,6})\\s', 1))::INTEGER AS level FROM fence
-WHERE inside = 0 AND regexp_matches(line, '^#{1,6}\\s+\\S')""")
+_SPLIT = "string_split_regex(regexp_replace(markdown, '(\\r\\n|[\\r\\n])$', ''), '\\r\\n|[\\r\\n\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')"
+_LINES = f"l AS (SELECT doc_id, unnest({_SPLIT}) AS line, generate_subscripts({_SPLIT}, 1) - 1 AS i FROM report WHERE markdown <> '')"
+_HEADS = f"""{_LINES}, size AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id),
+fence AS (SELECT *, (count(*) FILTER (regexp_matches(line, '^ {{0,3}}(```|~~~)')) OVER (PARTITION BY doc_id ORDER BY i)) % 2 AS inside FROM l),
+t AS (SELECT doc_id, i, length(regexp_extract(line, '^ {{0,3}}(#{{1,6}})\\s', 1)) AS level, regexp_extract(line, '^ {{0,3}}#{{1,6}}\\s+(.*?)(?:\\s+#+)?\\s*$', 1) AS title FROM fence
+  WHERE inside = 0 AND regexp_matches(line, '^ {{0,3}}#{{1,6}}\\s+\\S'))"""
+_BLOCKS = f"""{_HEADS}, w AS (SELECT *, CASE split_part(upper(regexp_extract(title, '^\\[([A-Za-z]{{1,6}}-\\d{{1,4}})\\]\\s+\\S', 1)), '-', 1) WHEN 'C' THEN 'Critical' WHEN 'H' THEN 'High' WHEN 'M' THEN 'Medium' WHEN 'L' THEN 'Low' WHEN 'NC' THEN 'Informational' END AS by_id,
+  nullif(regexp_extract(title, '^\\[([A-Za-z]{{1,6}}-\\d{{1,4}})\\]\\s+\\S', 1), '') AS finding_id,
+  regexp_matches(lower(title), 'description|impact|proof of concept|proof-of-concept|poc|exploit|recommended mitigation|recommendations|mitigation|resolution|fix status|test case|background|overview') AS sub,
+  CASE WHEN regexp_matches(lower(title), 'criteria|summary') THEN NULL WHEN regexp_matches(lower(title), '\\bcritical\\b') THEN 'Critical' WHEN regexp_matches(lower(title), '\\bhigh\\b') THEN 'High'
+  WHEN regexp_matches(lower(title), '\\bmedium\\b') THEN 'Medium' WHEN regexp_matches(lower(title), '\\blow\\b') THEN 'Low' WHEN regexp_matches(lower(title), '\\b(informational|info|non-critical|nc)\\b') THEN 'Informational'
+  WHEN regexp_matches(lower(title), '\\bgas\\b') THEN 'Gas' WHEN regexp_matches(lower(title), '\\bqa\\b') THEN 'QA' END AS severity FROM t),
+h AS (SELECT w.*, coalesce((SELECT min(x.i) FROM w x WHERE x.doc_id = w.doc_id AND x.i > w.i AND x.level <= w.level), size.n) AS stop,
+  last_value(severity IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS latest FROM w JOIN size USING (doc_id)),
+inside AS (SELECT c.doc_id, c.i, least(c.stop, b.stop) AS stop, c.finding_id, coalesce(c.by_id, b.severity) AS severity FROM h b JOIN h c ON c.doc_id = b.doc_id AND c.i > b.i AND c.i < b.stop AND c.level > b.level WHERE b.severity IS NOT NULL AND NOT c.sub),
+blocks AS (SELECT * FROM inside UNION ALL SELECT doc_id, i, stop, finding_id, coalesce(by_id, latest) FROM h WHERE finding_id IS NOT NULL AND (doc_id, i) NOT IN (SELECT doc_id, i FROM inside))"""
+_SPAN = "^#{1,6}\\s+<span id=\"page-(\\d+)-\\d+\"></span>\\s*(\\d+)\\."
+_SPANS = f"""p AS (SELECT *, nullif(regexp_extract(line, '<span id="page-(\\d+)-\\d+"></span>', 1), '')::INTEGER AS page FROM l),
+spans AS (SELECT doc_id, i, regexp_extract(line, '{_SPAN}', 1)::INTEGER AS page, regexp_extract(line, '{_SPAN}', 2)::INTEGER AS idx FROM l WHERE regexp_matches(line, '{_SPAN}')),
+last AS (SELECT doc_id, i FROM l WHERE regexp_matches(line, '^#{{1,6}}\\s+<span id="page-(\\d+)-\\d+"></span>\\s*[A-Z]\\.')),
+ended AS (SELECT s.*, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i), (SELECT min(i) FROM last WHERE last.doc_id = s.doc_id AND last.i > s.i), (SELECT max(i) + 1 FROM l WHERE l.doc_id = s.doc_id)) AS stop FROM spans s)"""
+_TABLES = """r AS (SELECT doc_id, i, trim(regexp_extract(line, '^\\|\\s*([A-Za-z0-9]+-\\d{2,})\\s*\\|', 1)) AS fid FROM l WHERE regexp_matches(line, '^\\|\\s*[A-Za-z0-9]+-\\d{2,}\\s*\\|\\s*[^|]+\\|')),
+top AS (SELECT doc_id, min(i) AS head FROM l WHERE starts_with(lower(trim(line)), '| id') AND contains(lower(line), 'severity') AND contains(lower(line), 'status') GROUP BY doc_id),
+past AS (SELECT top.doc_id, head, coalesce(min(i) FILTER (i > head AND NOT starts_with(trim(line), '|')), max(i) + 1) AS behind FROM top JOIN l USING (doc_id) GROUP BY ALL),
+named AS (SELECT r.doc_id, fid FROM r JOIN past ON r.doc_id = past.doc_id AND r.i > head AND r.i < behind),
+detail AS (SELECT r.* FROM r LEFT JOIN past USING (doc_id) WHERE r.i > coalesce(behind, -1) AND (doc_id NOT IN (SELECT doc_id FROM named) OR (doc_id, fid) IN (SELECT doc_id, fid FROM named))),
+rows_of AS (SELECT * FROM detail UNION ALL SELECT * FROM r WHERE doc_id NOT IN (SELECT doc_id FROM detail) AND doc_id NOT IN (SELECT doc_id FROM named)),
+marks AS (SELECT doc_id, i, nullif(regexp_extract(line, '^\\{(\\d+)\\}\\s*-+', 1), '')::INTEGER AS page FROM l WHERE regexp_matches(line, '^\\{\\d+\\}\\s*-+')),
+tables AS (SELECT d.*, (SELECT max_by(page, m.i) FROM marks m WHERE m.doc_id = d.doc_id AND m.i <= d.i) AS page, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i),
+  (SELECT min(i) FROM l WHERE l.doc_id = d.doc_id AND l.i > d.i AND regexp_matches(line, '(?i)^\\s*#{1,6}.*\\bAppendix\\b')), (SELECT max(i) + 1 FROM l WHERE l.doc_id = d.doc_id)) AS stop FROM rows_of d)"""
+_ALL_SEGMENTS = f"""{_BLOCKS}, {_SPANS}, {_TABLES}, native AS (SELECT DISTINCT doc_id FROM blocks JOIN report USING (doc_id) WHERE origin IS NULL OR origin <> 'pdf'),
+segs AS (SELECT blocks.doc_id, i, stop, NULL::INTEGER AS page, finding_id, severity FROM blocks JOIN native USING (doc_id)
+  UNION ALL SELECT doc_id, i, stop, page, NULL, NULL FROM ended WHERE doc_id NOT IN (FROM native)
+  UNION ALL SELECT doc_id, i, stop, page, fid, NULL FROM tables WHERE doc_id NOT IN (FROM native) AND doc_id NOT IN (SELECT doc_id FROM ended))"""
+
+
+def _native() -> Column:
+    return F.coalesce(F.col("origin") != "pdf", F.lit(True))
+
+
+@register(f"""WITH {_HEADS} SELECT doc_id, i::INTEGER AS start_line, level::INTEGER AS level FROM t""")
 def q_md_headings(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "report").select("doc_id", F.inline(md_headings(F.col("markdown")))).select("doc_id", "start_line", "level")
 
 
-@register("""WITH f AS (SELECT DISTINCT scvd_id, f.doc_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin = 'issue') SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id""")
+@register(f"""WITH {_BLOCKS} SELECT doc_id, i::INTEGER AS start_line, stop::INTEGER AS end_line, finding_id, severity FROM blocks""")
 def q_md_roundtrip_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Severity-block segments of the reports made from issues: as many as the findings they were made from."""
-    found = segment.severity_blocks(table(spark, d, "report").where("origin = 'issue'"))
-    return found.groupBy("doc_id").agg(F.count("*").alias("n"))
+    """Severity blocks of all reports, whatever their shape."""
+    return segment.severity_blocks(table(spark, d, "report")).select("doc_id", "start_line", "end_line", "finding_id", "severity")
 
 
-@register("""WITH f AS (SELECT DISTINCT scvd_id, f.doc_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin <> 'native') SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id""")
+@register(f"""WITH {_ALL_SEGMENTS}, e AS (SELECT segs.doc_id, segs.i, string_agg(line, chr(10) ORDER BY l.i) AS body FROM segs JOIN l ON l.doc_id = segs.doc_id AND l.i >= segs.i AND l.i < segs.stop GROUP BY ALL)
+SELECT DISTINCT doc_id, i::INTEGER AS start_line, md5(regexp_replace(body, '{_SPACE}+$', '') || chr(10)) AS digest FROM e""")
 def q_md_roundtrip_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Segments by the cascade of shapes, compared with the findings the reports were rendered from."""
-    found = segment.segments(table(spark, d, "report").where("origin <> 'native'"), native=F.col("origin") != "pdf")
-    return found.groupBy("doc_id").agg(F.count("*").alias("n"))
-
+    """Texts of the segments of all reports."""
+    found = segment.segments(table(spark, d, "report"), native=_native())
+    return found.select("doc_id", "start_line", F.md5("markdown").alias("digest")).distinct()
 
-_SPLIT = "string_split(CASE WHEN ends_with(markdown, chr(10)) THEN left(markdown, length(markdown) - 1) ELSE markdown END, chr(10))"
-_LINES = f"l AS (SELECT doc_id, unnest({_SPLIT}) AS line, generate_subscripts({_SPLIT}, 1) - 1 AS i FROM report WHERE origin = 'pdf')"
 
-
-@register(f"""WITH {_LINES}, p AS (SELECT *, nullif(regexp_extract(line, '<span id="page-(\\d+)-\\d+"></span>', 1), '')::INTEGER AS page FROM l),
-b AS (SELECT *, count(page) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM p)
+@register(f"""WITH {_LINES}, {_SPANS}, b AS (SELECT *, count(page) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM p)
 SELECT doc_id, block, max(page) AS page, min(i)::INTEGER AS start_line FROM b WHERE block > 0 GROUP BY doc_id, block""")
 def q_md_span_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return segment.span_blocks(table(spark, d, "report").where("origin = 'pdf'")).select("doc_id", "block", "page", "start_line")
+    return segment.span_blocks(table(spark, d, "report")).select("doc_id", "block", "page", "start_line")
 
 
-@register(f"""WITH {_LINES}, s AS (SELECT doc_id, i, regexp_extract(line, '^#{{1,6}}\\s+<span id="page-(\\d+)-\\d+"></span>\\s*(\\d+)\\.', 1)::INTEGER AS page,
-regexp_extract(line, '^#{{1,6}}\\s+<span id="page-(\\d+)-\\d+"></span>\\s*(\\d+)\\.', 2)::INTEGER AS idx FROM l WHERE regexp_matches(line, '^#{{1,6}}\\s+<span id="page-(\\d+)-\\d+"></span>\\s*\\d+\\.'))
-SELECT doc_id, idx, page AS page_start, i::INTEGER AS start_line FROM s""")
+@register(f"""WITH {_LINES}, {_SPANS} SELECT doc_id, idx, page AS page_start, i::INTEGER AS start_line, stop::INTEGER AS end_line FROM ended""")
 def q_md_span_segments(spark: SparkSession, d: str) -> DataFrame:
-    return segment.span_segments(table(spark, d, "report").where("origin = 'pdf'")).select("doc_id", "idx", "page_start", "start_line")
+    return segment.span_segments(table(spark, d, "report")).select("doc_id", "idx", "page_start", "start_line", "end_line")
 
 
-@register("""WITH f AS (SELECT DISTINCT scvd_id, f.doc_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin = 'pdf' AND NOT regexp_matches(r.markdown, '<span id="page-'))
-SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id""")
+@register(f"""WITH {_LINES}, {_TABLES} SELECT doc_id, i::INTEGER AS start_line, stop::INTEGER AS end_line, page AS page_start, fid AS finding_id FROM tables""")
 def q_md_id_table(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "report").where("origin = 'pdf' and not markdown like '%<span id=\"page-%'")
-    return segment.id_table_segments(rows).groupBy("doc_id").agg(F.count("*").alias("n"))
+    return segment.id_table_segments(table(spark, d, "report")).select("doc_id", "start_line", "end_line", "page_start", "finding_id")
 
 
 @register(f"""WITH {_LINES} SELECT doc_id, i::INTEGER AS line_no, last_value(nullif(regexp_extract(line, '^\\{{(\\d+)\\}}\\s*-+', 1), '')::INTEGER IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS page FROM l""")
 def q_page_asof(spark: SparkSession, d: str) -> DataFrame:
-    return repos.pages_of(table(spark, d, "report").where("origin = 'pdf'"))
+    return repos.pages_of(table(spark, d, "report"))
 
 
-@register(f"""WITH {_LINES}, p AS (SELECT doc_id, coalesce(last_value(nullif(regexp_extract(line, '^\\{{(\\d+)\\}}\\s*-+', 1), '')::INTEGER IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i), 0) AS page, length(line) + 1 AS size FROM l),
+@register(f"""WITH RECURSIVE {_LINES}, p AS (SELECT doc_id, coalesce(last_value(nullif(regexp_extract(line, '^\\{{(\\d+)\\}}\\s*-+', 1), '')::INTEGER IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i), 0) AS page, length(line) + 1 AS size FROM l),
 s AS (SELECT doc_id, page, sum(size)::BIGINT AS size, row_number() OVER (PARTITION BY doc_id ORDER BY page) AS k FROM p GROUP BY doc_id, page),
-c AS (SELECT doc_id, count(*) AS n_pages, sum(size) AS size FROM s GROUP BY doc_id) SELECT doc_id, n_pages FROM c""")
+r AS (SELECT doc_id, k, page, size AS fill, 1 AS chunk FROM s WHERE k = 1
+  UNION ALL SELECT s.doc_id, s.k, s.page, CASE WHEN r.fill + s.size > 8000 THEN s.size ELSE r.fill + s.size END, CASE WHEN r.fill + s.size > 8000 THEN r.chunk + 1 ELSE r.chunk END FROM r JOIN s ON s.doc_id = r.doc_id AND s.k = r.k + 1)
+SELECT doc_id, chunk, min(page) AS first_page, max(page) AS last_page, count(*) AS n_pages FROM r GROUP BY doc_id, chunk""")
 def q_page_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Pages packed into chunks; over all chunks of a report every page comes once."""
-    lines = segment.page_of_lines(segment.line_table(segment.documents(table(spark, d, "report").where("origin = 'pdf'"))))
+    """Pages packed into chunks of 8 000 characters at most."""
+    lines = segment.page_of_lines(segment.line_table(segment.documents(table(spark, d, "report"))))
     pages = lines.groupBy("doc_id", F.coalesce("page", F.lit(0)).alias("page")).agg(F.sum(F.char_length("line") + 1).cast("int").alias("size"))
-    return segment.page_chunks(pages, 8_000).groupBy("doc_id").agg(F.sum("n_pages").alias("n_pages"))
+    return segment.page_chunks(pages, 8_000)
 
 
-@register("""SELECT CASE WHEN severity IS NULL THEN 'null' ELSE severity END AS severity, count(*) AS n FROM (
-SELECT doc_id, CASE upper(string_split(regexp_extract(line, '^#{1,6}\\s+\\[([A-Za-z]{1,6}-\\d{1,4})\\]', 1), '-')[1]) WHEN 'C' THEN 'Critical' WHEN 'H' THEN 'High' WHEN 'M' THEN 'Medium' WHEN 'L' THEN 'Low' WHEN 'NC' THEN 'Informational'
-ELSE block END AS severity FROM (
-  SELECT doc_id, line, i, last_value(CASE WHEN regexp_matches(line, '^#\\s') THEN CASE WHEN contains(lower(line), 'critical') THEN 'Critical' WHEN contains(lower(line), 'high') THEN 'High' WHEN contains(lower(line), 'medium') THEN 'Medium'
-   WHEN contains(lower(line), 'low') THEN 'Low' WHEN contains(lower(line), 'info') THEN 'Informational' END END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS block
-  FROM (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM report WHERE origin = 'issue'))
-WHERE regexp_matches(line, '^#{1,6}\\s+\\[[A-Za-z]{1,6}-\\d{1,4}\\]\\s+\\S')) GROUP BY 1""")
+@register(f"""WITH {_ALL_SEGMENTS} SELECT coalesce(severity, 'null') AS severity, count(*) AS n FROM segs GROUP BY 1""")
 def q_segments_by_severity(spark: SparkSession, d: str) -> DataFrame:
-    found = segment.severity_blocks(table(spark, d, "report").where("origin = 'issue'"))
-    return found.groupBy(F.coalesce("severity", F.lit("null")).alias("severity")).agg(F.count("*").alias("n"))
+    """How many segments of all reports have each severity."""
+    return q_segments_of_reports(spark, d).groupBy(F.coalesce("severity", F.lit("null")).alias("severity")).agg(F.count("*").alias("n"))
 
 
-@register("""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM report WHERE origin IS NULL OR origin <> 'pdf'),
-fence AS (SELECT *, (count(*) FILTER (regexp_matches(line, '^ {0,3}(```|~~~)')) OVER (PARTITION BY doc_id ORDER BY i)) % 2 AS inside FROM l),
-t AS (SELECT doc_id, i, length(regexp_extract(line, '^ {0,3}(#{1,6})\\s', 1)) AS level, regexp_extract(line, '^ {0,3}#{1,6}\\s+(.*?)(?:\\s+#+)?\\s*$', 1) AS title FROM fence
-  WHERE inside = 0 AND regexp_matches(line, '^ {0,3}#{1,6}\\s+\\S')),
-w AS (SELECT *, CASE split_part(upper(regexp_extract(title, '^\\[([A-Za-z]{1,6}-\\d{1,4})\\]\\s+\\S', 1)), '-', 1) WHEN 'C' THEN 'Critical' WHEN 'H' THEN 'High' WHEN 'M' THEN 'Medium' WHEN 'L' THEN 'Low' WHEN 'NC' THEN 'Informational' END AS by_id,
-  regexp_matches(title, '^\\[[A-Za-z]{1,6}-\\d{1,4}\\]\\s+\\S') AS has_id,
-  regexp_matches(lower(title), 'description|impact|proof of concept|proof-of-concept|poc|exploit|recommended mitigation|recommendations|mitigation|resolution|fix status|test case|background|overview') AS sub,
-  CASE WHEN regexp_matches(lower(title), 'criteria|summary') THEN NULL WHEN regexp_matches(lower(title), '\\bcritical\\b') THEN 'Critical' WHEN regexp_matches(lower(title), '\\bhigh\\b') THEN 'High'
-  WHEN regexp_matches(lower(title), '\\bmedium\\b') THEN 'Medium' WHEN regexp_matches(lower(title), '\\blow\\b') THEN 'Low' WHEN regexp_matches(lower(title), '\\b(informational|info|non-critical|nc)\\b') THEN 'Informational'
-  WHEN regexp_matches(lower(title), '\\bgas\\b') THEN 'Gas' WHEN regexp_matches(lower(title), '\\bqa\\b') THEN 'QA' END AS severity FROM t),
-h AS (SELECT *, coalesce((SELECT min(x.i) FROM w x WHERE x.doc_id = w.doc_id AND x.i > w.i AND x.level <= w.level), 1000000000) AS stop,
-  last_value(severity IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS latest FROM w),
-inside AS (SELECT c.doc_id, c.i, coalesce(c.by_id, b.severity) AS severity FROM h b JOIN h c ON c.doc_id = b.doc_id AND c.i > b.i AND c.i < b.stop AND c.level > b.level WHERE b.severity IS NOT NULL AND NOT c.sub),
-blocks AS (SELECT doc_id, severity FROM inside UNION ALL SELECT doc_id, coalesce(by_id, latest) FROM h WHERE has_id AND (doc_id, i) NOT IN (SELECT doc_id, i FROM inside)),
-pdf AS (SELECT DISTINCT f.doc_id, scvd_id FROM findings f JOIN report r USING (doc_id) WHERE r.origin = 'pdf')
-SELECT doc_id, coalesce(severity, 'null') AS severity, count(*) AS n FROM (SELECT doc_id, severity FROM blocks UNION ALL SELECT doc_id, NULL FROM pdf) GROUP BY ALL""")
+@register(f"""WITH {_ALL_SEGMENTS} SELECT doc_id, i::INTEGER AS start_line, stop::INTEGER AS end_line, page AS page_start, finding_id, severity FROM segs""")
 def q_segments_of_reports(spark: SparkSession, d: str) -> DataFrame:
-    """Segments of all reports by severity: native and issue texts against their headings, converted ones against their findings."""
-    native = F.coalesce(F.col("origin") != "pdf", F.lit(True))
-    found = segment.segments(table(spark, d, "report"), native=native)
-    return found.groupBy("doc_id", F.coalesce("severity", F.lit("null")).alias("severity")).agg(F.count("*").alias("n"))
+    """Segments of all reports by the first shape that yields any."""
+    return segment.segments(table(spark, d, "report"), native=_native()).select("doc_id", "start_line", "end_line", "page_start", "finding_id", "severity")
 
 
 @register("""WITH r AS (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 1 THEN 'id:P-' || (l_partkey % 3) ELSE 'h:part:' || floor(l_suppkey * 20 / 200)::BIGINT END AS k, l_suppkey * 20 AS s, l_suppkey * 20 + l_quantity::BIGINT AS e FROM lineitem)
@@ -464,24 +501,25 @@ def q_repo_extract(spark: SparkSession, d: str) -> DataFrame:
     return repos.extract_repos(table(spark, d, "report"), hosts=HOSTS).select("doc_id", "org", "repo", "commit_sha")
 
 
-@register(f"""WITH {_ONCE}, r AS (SELECT DISTINCT doc_id, url, org, repo, commit_sha, evidence.page AS page, evidence.snippet AS snippet FROM report_repos),
-s AS (SELECT f.scvd_id, r.url, r.commit_sha, CASE WHEN r.doc_id IS NULL THEN NULL ELSE
+@register(f"""WITH {_ONCE}, d AS (SELECT DISTINCT doc_id, url, org, repo, commit_sha, evidence.page AS page, evidence.snippet AS snippet FROM report_repos),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY url NULLS FIRST, commit_sha NULLS FIRST, page NULLS FIRST, snippet NULLS FIRST) AS ord FROM d),
+s AS (SELECT f.scvd_id, r.url, r.commit_sha, r.ord, CASE WHEN r.doc_id IS NULL THEN NULL ELSE
  (CASE WHEN nullif(r.commit_sha, '') IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN abs(r.page - f.page_start) <= 5 THEN 2 ELSE 0 END
  + CASE WHEN regexp_extract(f.target.path, '([^/]+)/*$', 1) <> '' AND contains(lower(coalesce(r.snippet, '')), lower(regexp_extract(f.target.path, '([^/]+)/*$', 1))) THEN 3 ELSE 0 END
  + CASE WHEN contains(lower(coalesce(r.snippet, '')), lower(nullif(regexp_extract(f.target.path, '^(.*)/[^/]+/*$', 1), ''))) THEN 1 ELSE 0 END
  - CASE WHEN contains(lower(r.repo), 'publications') THEN 1 ELSE 0 END) END AS score FROM f LEFT JOIN r USING (doc_id))
-SELECT scvd_id, max(score)::INTEGER AS score, count(url) AS n_candidates FROM s GROUP BY scvd_id""")
+SELECT scvd_id, url, commit_sha, score::INTEGER AS score FROM s QUALIFY row_number() OVER (PARTITION BY scvd_id ORDER BY score DESC NULLS LAST, ord) = 1""")
 def q_repo_attribution(spark: SparkSession, d: str) -> DataFrame:
     named = table(spark, d, "report_repos").select("doc_id", "url", "org", "repo", "commit_sha", "evidence.page", "evidence.snippet").distinct()
     named = named.withColumn("ord", F.row_number().over(W.partitionBy("doc_id").orderBy("url", "commit_sha", "page", "snippet")))
-    rows = _findings(spark, d).select("scvd_id", "doc_id", "page_start", F.col("target.path").alias("path"))
-    counts = rows.join(named, "doc_id", "left").groupBy("scvd_id").agg(F.count("url").alias("n_candidates"))
-    return repos.attribute(rows, named).select("scvd_id", "score").join(counts, "scvd_id")
+    rows = _once(_findings(spark, d).select("scvd_id", "doc_id", "page_start", F.col("target.path").alias("path")))
+    return repos.attribute(rows, named).select("scvd_id", "url", "commit_sha", "score")
 
 
 def _rule_scores(spark: SparkSession, d: str) -> DataFrame:
     fields = {"title": F.col("title"), "description": F.col("description_md"), "poc": F.col("poc_md")}
-    return classify.scores(_findings(spark, d), "scvd_id", fields, F.col("type"), classify.DEFAULT_RULES)
+    rows = _once(_findings(spark, d).select("scvd_id", "title", "description_md", "poc_md", "type"))
+    return classify.scores(rows, "scvd_id", fields, F.col("type"), classify.DEFAULT_RULES)
 
 
 def _rule_sql() -> str:
@@ -534,11 +572,12 @@ def q_validate_errors(spark: SparkSession, d: str) -> DataFrame:
     return validate.validate_json(rows.select("scvd_id", line.alias("line")), "scvd_id", "line", validate.FINDING_SCHEMA)
 
 
-@register("""SELECT 'documents' AS src, count(*) AS n, count(DISTINCT doc_id) AS n_ord FROM documents UNION ALL SELECT 'eval_items', count(*), count(DISTINCT item_id) FROM eval_items""")
+@register("""SELECT 'documents' AS src, doc_id AS key, row_number() OVER () AS place FROM documents UNION ALL SELECT 'eval_items', item_id, row_number() OVER () FROM eval_items""")
 def q_combine_union_ordered(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.lit("documents").alias("src"), "text")
-    items = table(spark, d, "eval_items").select(F.lit("eval_items").alias("src"), "text")
-    return files.combined(docs, items).groupBy("src").agg(F.count("*").alias("n"), F.countDistinct("ord").alias("n_ord"))
+    """Rows of two sources, each by its order in the union."""
+    docs = table(spark, d, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("key"))
+    items = table(spark, d, "eval_items").select(F.lit("eval_items").alias("src"), F.col("item_id").alias("key"))
+    return files.combined(docs, items).select("src", "key", F.row_number().over(W.partitionBy("src").orderBy("ord")).alias("place"))
 
 
 @register("""SELECT DISTINCT sha256(text) AS key FROM documents WHERE text IS NOT NULL AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0 AND text IS NOT NULL)""")
@@ -548,7 +587,7 @@ def q_cache_miss_anti(spark: SparkSession, d: str) -> DataFrame:
     return files.cache_misses(docs, cache).select("key")
 
 
-@register("""SELECT strftime(provenance.scvd_normalized_at::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m') AS period, count(*) AS n FROM findings GROUP BY 1""")
+@register(f"""WITH {_ONCE} SELECT scvd_id, strftime(provenance.scvd_normalized_at::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m') AS period FROM f""")
 def q_snapshot_periods(spark: SparkSession, d: str) -> DataFrame:
-    at = T.iso_instant(F.col("provenance.scvd_normalized_at"))
-    return table(spark, d, "findings").groupBy(F.date_format(at, "yyyy-MM").alias("period")).agg(F.count("*").alias("n"))
+    rows = _once(_findings(spark, d).select("scvd_id", T.iso_instant(F.col("provenance.scvd_normalized_at")).alias("normalized_at")))
+    return files.with_period(rows).drop("normalized_at")

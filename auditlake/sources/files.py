@@ -104,9 +104,14 @@ def write_csv(df: DataFrame, path: str, fields: tuple[str, ...] | None = None, f
     flat.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)
 
 
+def with_period(df: DataFrame, at: str = "normalized_at") -> DataFrame:
+    """df with the month of an instant; null where it is unknown."""
+    return df.withColumn("period", F.date_format(at, "yyyy-MM"))
+
+
 def write_snapshot(df: DataFrame, path: str, at: str = "normalized_at") -> None:
     """Findings by month, so that a period is a partition."""
-    df.withColumn("period", F.date_format(at, "yyyy-MM")).repartition("period").write.mode("overwrite").partitionBy("period").parquet(path)
+    with_period(df, at).repartition("period").write.mode("overwrite").partitionBy("period").parquet(path)
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
