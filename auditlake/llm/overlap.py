@@ -36,7 +36,7 @@ LIST_POSTINGS = 1 << 18
 #: Pairs looked at in one vector operation.
 CHUNK = 1 << 20
 #: Chosen records up to this many (some 100 bytes each) go to every task; more meet the texts by shuffle.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 #: Texts of one slice; their numbers fit 16 bits.
 BATCH = 1_000
 HASH_BITS = 48
