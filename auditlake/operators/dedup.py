@@ -56,17 +56,52 @@ def signature_groups(signed: DataFrame, key: str) -> DataFrame:
 def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b, cos), a < b, of all pairs with a cosine of unit vectors from ``threshold`` on, none missing.
 
-    Rows get a block by hash; each pair of blocks is one group whose product is one matrix multiplication. Blocks
-    have a bounded size, the number of groups is the square of rows over block size over two. It is exact, and meant
-    for the sizes where that is affordable; lsh_pairs finds candidates for larger ones.
+    Exact, and meant for the sizes where all pairs of blocks are affordable; lsh_pairs is the way beyond them.
+    Repeated keys count once, null keys and vectors don't.
+    """
+    rows = df.select(F.col(key).alias("k"), F.col(vector).alias("v"), F.lit(0).alias("bucket")).where("k is not null and v is not null")
+    return _multiplied(rows, df.schema[key].dataType.simpleString(), threshold, block_rows)
+
+
+def lsh_tables(threshold: float, bits: int, recall: float) -> int:
+    """How many tables of ``bits`` random hyperplanes find a pair at the threshold with this probability."""
+    same = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - min(same, 1 - 1e-9))))
+
+
+def lsh_pairs(df: DataFrame, key: str, vector: str, threshold: float, bits: int = 8, recall: float = 0.95, block_rows: int = BLOCK_ROWS, seed: int = 7) -> DataFrame:
+    """(a, b, cos) like similar_pairs, of the pairs that share a bucket of hyperplanes in any table: a pair at the
+    threshold is found with probability ``recall``, closer ones more surely, and none is reported wrongly.
+
+    Work grows with the sizes of buckets; 2^bits should grow with the rows. Every row is in one bucket a table, and a
+    bucket of any size is cut into blocks, so a hot one is spread over many tasks like all rows are in similar_pairs.
     """
     rows = df.select(F.col(key).alias("k"), F.col(vector).alias("v")).where("k is not null and v is not null")
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int"))
+    first = rows.select(F.size("v")).head()
+    tables = lsh_tables(threshold, bits, recall)
+    planes = np.random.default_rng(seed).standard_normal((first[0] if first else 1, bits * tables))
+
+    @F.pandas_udf("array<int>")
+    def buckets(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        signs = (np.stack(vectors.to_numpy()).astype(np.float64) @ planes) > 0
+        codes = signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits))
+        return pd.Series(list((codes + np.arange(tables) * (1 << bits)).astype(np.int32)), dtype=object)
+
+    hashed = rows.select("k", "v", F.explode(buckets("v")).alias("bucket"))
+    found = _multiplied(hashed, df.schema[key].dataType.simpleString(), threshold, block_rows)
+    return found.groupBy("a", "b").agg(F.max("cos").alias("cos"))
+
+
+def _multiplied(rows: DataFrame, kind: str, threshold: float, block_rows: int) -> DataFrame:
+    """Pairs within buckets (k, v, bucket). A bucket's rows get a block by hash; each pair of its blocks is one group
+    whose product is one matrix multiplication, so a task's memory is fixed whatever the size of a bucket."""
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))  # a row a bucket: bounded by their number
+    own = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
     # block i meets every block j >= i under the key (i, j)
-    others = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
-    spread = placed.select("k", "v", "block", F.inline(others))
-    kind = df.schema[key].dataType.simpleString()
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
+    spread = rows.join(F.broadcast(sizes), "bucket").withColumn("block", own).select("k", "v", "bucket", "block", F.inline(others))
 
     def multiply(part: pd.DataFrame) -> pd.DataFrame:
         i, j = int(part["i"].iloc[0]), int(part["j"].iloc[0])
@@ -81,28 +116,10 @@ def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, block_
         out = pd.DataFrame({"a": a, "b": b, "cos": cos})
         return out[out["a"] != out["b"]].drop_duplicates(["a", "b"])
 
-    found = spread.groupBy("i", "j").applyInPandas(multiply, f"a {kind}, b {kind}, cos double")
+    found = spread.groupBy("bucket", "i", "j").applyInPandas(multiply, f"a {kind}, b {kind}, cos double")
     return found.where(F.col("cos") >= threshold)
 
 
-def lsh_pairs(df: DataFrame, key: str, vector: str, bits: int = 8, tables: int = 16, seed: int = 7) -> DataFrame:
-    """(a, b): candidate pairs that share a bucket of random hyperplanes in any table; buckets aren't capped."""
-    rows = df.select(F.col(key).alias("k"), F.col(vector).alias("v")).where("k is not null and v is not null")
-    size = rows.select(F.size("v")).head()
-    planes = np.random.default_rng(seed).standard_normal((size[0] if size else 1, bits * tables))
-
-    @F.pandas_udf("array<bigint>")
-    def buckets(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        signs = (np.stack(vectors.to_numpy()).astype(np.float64) @ planes) > 0
-        codes = signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits))
-        return pd.Series(list(codes + np.arange(tables) * (1 << bits)), dtype=object)
-
-    hashed = rows.select("k", F.explode(buckets("v")).alias("bucket"))
-    return hashed.alias("x").join(hashed.alias("y"), "bucket").where("x.k < y.k").select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
-
-
 def scored_pairs(pairs: DataFrame, rows: DataFrame, key: str, threshold: float = THRESHOLD, boost: float = HARD_BOOST) -> DataFrame:
     """Pairs (a, b, cos) with their signals and final score, those from ``threshold`` on.
 
@@ -140,17 +157,14 @@ def hashed_vectors(df: DataFrame, key: str, text: Column, size: int = 256) -> Da
 
     @F.pandas_udf("array<float>")
     def embed(texts: pd.Series) -> pd.Series:
-        import zlib
-
         out = []
         for t in texts:
-            v = np.zeros(size, np.float32)
-            low = (t or "").lower().encode()
-            for i in range(max(0, len(low) - 3)):
-                h = zlib.crc32(low[i : i + 4])
-                v[h % size] += 1 if h >> 31 else -1
+            raw = np.frombuffer((t or "").lower().encode(), np.uint8).astype(np.uint64)
+            grams = raw[:-3] << np.uint64(24) | raw[1:-2] << np.uint64(16) | raw[2:-1] << np.uint64(8) | raw[3:] if len(raw) > 3 else raw[:0]
+            mixed = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            v = np.bincount((mixed % np.uint64(size)).astype(np.int64), np.where(mixed >> np.uint64(31), 1.0, -1.0), size)
             n = float(np.linalg.norm(v))
-            out.append((v / n if n else v).tolist())
+            out.append((v / n if n else v).astype(np.float32).tolist())
         return pd.Series(out, dtype=object)
 
     return df.select(key, embed(text).alias("v"))

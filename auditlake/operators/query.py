@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import base64
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from auditlake.functions import text as T
@@ -77,6 +79,22 @@ def page(df: DataFrame, offset: int = 0, limit: int = PAGE) -> DataFrame:
     return df.offset(max(0, offset)).limit(min(MOST, max(1, limit)))
 
 
+def cursor_page(df: DataFrame, cursor: str | None = None, limit: int = PAGE) -> DataFrame:
+    """The page of an ordered frame that a cursor names, with next_cursor on its rows: null if nothing follows.
+
+    One row more than the page is read to know. Unreadable cursors mean the first page.
+    """
+    limit = min(MOST, max(1, limit))
+    try:
+        offset = max(0, int(base64.urlsafe_b64decode((cursor or "").encode()).decode()))
+    except ValueError:
+        offset = 0
+    rows = df.offset(offset).limit(limit + 1).withColumn("_at", F.monotonically_increasing_id())
+    counted = rows.withColumn("_n", F.count("*").over(W.partitionBy())).withColumn("_place", F.row_number().over(W.orderBy("_at")))
+    following = T.cursor_encode(F.lit(offset + limit))
+    return counted.withColumn("next_cursor", F.when(F.col("_n") > limit, following)).where(F.col("_place") <= limit).drop("_at", "_n", "_place")
+
+
 def after(df: DataFrame, key: Column, ord_column: str, last_key: object, last_ord: object, limit: int = PAGE, order: str = "desc") -> DataFrame:
     """The page behind a row, found by its key and position instead of counting rows: no page is read before it."""
     beyond = key > F.lit(last_key) if order == "asc" else key < F.lit(last_key)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import text as T
 from auditlake.functions.headings import md_headings
 from auditlake.operators import classify, dedup, issues, query, repos, sections, segment, validate
+from auditlake.plans import pipeline
 from auditlake.runtime import table
 from auditlake.sources import files
 
@@ -459,6 +460,16 @@ def q_segments_of_reports(spark: SparkSession, d: str) -> DataFrame:
     return segment.segments(table(spark, d, "report"), native=_native()).select("doc_id", "start_line", "end_line", "page_start", "finding_id", "severity")
 
 
+@register(f"""WITH {_ALL_SEGMENTS}, k AS (SELECT segs.*, CASE WHEN doc_id IN (SELECT doc_id FROM ended) AND doc_id NOT IN (FROM native) THEN (SELECT idx FROM ended WHERE ended.doc_id = segs.doc_id AND ended.i = segs.i)
+  ELSE row_number() OVER (PARTITION BY doc_id ORDER BY i) END AS idx FROM segs)
+SELECT 'SCVD-' || k.doc_id || '-' || CASE WHEN idx < 1000 THEN lpad(idx::VARCHAR, 3, '0') ELSE idx::VARCHAR END AS scvd_id, k.doc_id, i::INTEGER AS start_line, stop::INTEGER AS end_line, page AS page_start,
+coalesce(report.source_pdf, k.doc_id || '.pdf') AS source_pdf, report.extracted_at AS report_extracted_at FROM k JOIN report USING (doc_id)""")
+def q_finding_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records of all reports as the pipeline normalises them: keys, places and provenance."""
+    records = pipeline.finding_records(table(spark, d, "report"), "2025-01-01T00:00:00Z", classify.DEFAULT_RULES, HOSTS)
+    return records.select("scvd_id", "doc_id", "start_line", "end_line", "page_start", "provenance.source_pdf", "provenance.report_extracted_at")
+
+
 @register("""WITH r AS (SELECT l_orderkey, CASE WHEN l_linenumber % 2 = 1 THEN 'id:P-' || (l_partkey % 3) ELSE 'h:part:' || floor(l_suppkey * 20 / 200)::BIGINT END AS k, l_suppkey * 20 AS s, l_suppkey * 20 + l_quantity::BIGINT AS e FROM lineitem)
 SELECT l_orderkey::VARCHAR AS doc_id, count(*) AS n, min(s) AS first_line, max(e) AS last_line FROM (SELECT l_orderkey, k, min(s) AS s, max(e) AS e FROM r GROUP BY 1, 2) GROUP BY 1""")
 def q_llm_merge(spark: SparkSession, d: str) -> DataFrame:
@@ -569,7 +580,7 @@ def q_validate_errors(spark: SparkSession, d: str) -> DataFrame:
     bare = F.to_json(F.struct(*[c for c in ("scvd_id", "doc_id", "schema_version", "finding_index", "page_start", "title", "severity")], F.struct("provenance.source_pdf").alias("provenance")), {"ignoreNullFields": "false"})
     line = F.coalesce(line, bare)
     line = F.when(F.char_length("severity") < 3, F.regexp_replace(line, r"^\{", '{"surplus":1,')).when(F.col("severity").isNull(), F.substring(line, 2, 1000000)).otherwise(line)
-    return validate.validate_json(rows.select("scvd_id", line.alias("line")), "scvd_id", "line", validate.FINDING_SCHEMA)
+    return validate.validate_json(rows.select("scvd_id", line.alias("line")), "scvd_id", "line", validate.FINDING_SCHEMA).drop("message")
 
 
 @register("""SELECT 'documents' AS src, doc_id AS key, row_number() OVER () AS place FROM documents UNION ALL SELECT 'eval_items', item_id, row_number() OVER () FROM eval_items""")

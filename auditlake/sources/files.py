@@ -41,6 +41,20 @@ def read_documents(spark: SparkSession, root: str, convert: Callable[[bytes], st
     return done.select(doc_id(F.col("path"), root).alias("doc_id"), "path", "markdown")
 
 
+def output_path(doc: Column, kind: str) -> Column:
+    """Where the outcome of a document goes below a root: its id with the ending of the kind, every other dot kept."""
+    return F.concat(doc, F.lit("." + kind.lstrip(".")))
+
+
+def csv_source(given: str | None, deduplicated: str | None, combined_path: str | None) -> tuple[str, str]:
+    """(what a CSV export reads, its default name): what is given, else deduplicated records, else combined ones."""
+    source = given or deduplicated or combined_path
+    if not source:
+        raise ValueError("nothing to export")
+    head, dot, _ = source.rpartition(".")
+    return source, (head if dot and "/" not in source[len(head) :] else source) + ".csv"
+
+
 def unprocessed(found: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
     """What isn't in ``done`` yet; null keys are passed on."""
     return found.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")

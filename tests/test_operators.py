@@ -110,7 +110,9 @@ def test_scores_and_decisions(spark):
 def test_validation(spark):
     lines = ['{"scvd_id":"a","doc_id":"d","finding_index":1,"title":"t","provenance":{"source_pdf":null}}', "  ", "{broken", '{"scvd_id":"","doc_id":"d","finding_index":true,"title":"t","provenance":{},"x":1,"repo":{"line_span":[1]}}']
     df = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
-    got = {tuple(r) for r in validate.validate_json(df, "n", "line", validate.FINDING_SCHEMA).collect()}
+    found = validate.validate_json(df, "n", "line", validate.FINDING_SCHEMA)
+    assert found.where("keyword = 'type'").first().message == "true is not of type 'integer', 'string'"
+    got = {tuple(r) for r in found.drop("message").collect()}
     assert got == {(2, "", "json"), (3, "scvd_id", "minLength"), (3, "finding_index", "type"), (3, "", "additionalProperties"), (3, "provenance", "required:source_pdf"), (3, "repo/line_span", "anyOf")}
 
 
