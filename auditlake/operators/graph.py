@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +14,14 @@ from auditlake.runtime import cut_lineage
 MAX_ROUNDS = 40
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+#: Links up to this many (tens of MB) are united by one task; more by rounds of joins.
+SMALL_LINKS = 500_000
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small_links: int = SMALL_LINKS) -> DataFrame:
     """(node, component) of every node on an edge; component is the smallest node of its component.
 
+    Up to ``small_links`` distinct links one task unites them; the result is the same as that of the rounds.
     Alternates large-star and small-star rewirings (Kiveris et al., 2014): every step is one shuffle, hot nodes
     keep a running minimum instead of a collected neighbour list, and the number of rounds is logarithmic.
     Rows with a null end and loops are ignored; repeated edges count once; no edges give an empty result.
@@ -25,6 +33,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct()
     )
     links = cut_lineage(links)
+    if links.count() <= small_links:
+        return _united(links)
     mark = None
     for _ in range(MAX_ROUNDS):
         links = cut_lineage(_small_star(_large_star(links)))
@@ -40,6 +50,29 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
 
 
+def _united(links: DataFrame) -> DataFrame:
+    def unite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        above: dict = {}
+
+        def root(x: object) -> object:
+            while above[x] != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        for part in batches:
+            for u, v in zip(part["u"], part["v"]):
+                above.setdefault(u, u)
+                above.setdefault(v, v)
+                x, y = sorted((root(u), root(v)))
+                above[y] = x
+        nodes = list(above)
+        for k in range(0, len(nodes), 10_000):
+            yield pd.DataFrame({"node": nodes[k : k + 10_000], "component": [root(x) for x in nodes[k : k + 10_000]]})
+
+    kind = links.schema["u"].dataType.simpleString()
+    return links.repartition(1).mapInPandas(unite, f"node {kind}, component {kind}")
+
+
 def _both(links: DataFrame) -> DataFrame:
     return links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
 

@@ -20,9 +20,12 @@ def test_components_against_union_find(spark):
         a, b = sorted((find(a), find(b)))
         root[b] = a
     want = {x: find(x) for a, b in edges if a != b for x in (a, b)}
-    got = connected_components(spark.createDataFrame([*edges, (None, 1)], "a int, b int"))
-    assert {r.node: r.component for r in got.collect()} == want
-    assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
+    for small in (1_000, 0):  # in one task, and in rounds
+        got = connected_components(spark.createDataFrame([*edges, (None, 1)], "a int, b int"), small_links=small)
+        assert {r.node: r.component for r in got.collect()} == want
+        assert connected_components(spark.createDataFrame([], "a int, b int"), small_links=small).count() == 0
+    names = spark.createDataFrame([("b", "c"), ("a", "b"), ("x", "y")], "a string, b string")
+    assert {tuple(r) for r in connected_components(names).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
 
 
 def test_roots_of_chains_and_cycles(spark):
