@@ -34,14 +34,14 @@ def test_pages_find_and_repair(spark):
 
 def test_every_recurring_head_counts(spark):
     rng = random.Random(3)
-    heads = ["".join(rng.choices("dfhjkmpuvwxyz", k=14)) for _ in range(70)]
+    heads = ["".join(rng.choices("dfhjkmpuvwxyz", k=14)) for _ in range(200)]
     mark, body = "{3}------------------------------------------------", "the reserve stays open while the token moves"
     page = lambda head, n: "# Vault\n\n" + f"{body}\n\n{mark}\n\n{head}\n\n" * n + body
     rows = [report(page(f"Vault {h}", 4), f"pub_{k}") for k, h in enumerate(heads)]
     rows += [report(page(f"{h} for Vault", 1), f"rare_{k}") for k, h in enumerate(("Quartz paper", "Qu4rtz paper", "Quartz p4per"))]
     texts = pages.scanned_texts(spark.createDataFrame(rows, REPORT))
     templates = pages.head_templates(texts)
-    assert {x for x in templates if x.startswith("<T>")} == {f"<T> {h}" for h in heads} and len(templates) == 71
+    assert {x for x in templates if x.startswith("<T>")} == {f"<T> {h}" for h in heads} and len(templates) == 201
     _, found = pages.scan_findings(spark.createDataFrame(rows, REPORT))
     assert found.where("kind = 'furniture' and doc_id like 'rare%' and line_no = 7").count() == 3
 
