@@ -58,7 +58,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
             atexit.register(shutil.rmtree, shared, ignore_errors=True)
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=eager)
-
-
-def text_batches(spark: SparkSession, rows: int = SLICE_ROWS) -> None:
-    """Kept for callers that still name a batch size; the engine's bound in bytes decides."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlake.functions import text as T
-from auditlake.operators import dedup, issues, models, normalize, query, repos, sections, segment, validate
+from auditlake.operators import classify, dedup, issues, models, normalize, query, repos, sections, segment, validate
 from auditlake.plans import pipeline
 from auditlake.sources import files, issues_api
 
@@ -217,3 +217,31 @@ def test_links_in_texts(spark):
     assert (got.b.path, got.b.line_span, got.n) == ("src/a.sol", [3, 9], 2)
     ids = spark.createDataFrame([(None, 3), ("x", 4)], "k string, o int")
     assert {r.k for r in dedup.with_ids(ids, "k", "o").collect()} == {"idx-3", "x"}
+
+
+def test_rules_of_a_file(spark, tmp_path):
+    items = [{"id": "S-1", "aliases": ["Reentrancy"], "keywords": ["re-enter"], "regex": ["call\\{", "(bad"], "relationships": {"cwe": [{"id": "CWE-841"}]}}, {"id": "S-2"}]
+    (tmp_path / "v.json").write_text(json.dumps({"matching_defaults": {"regex_flags": "ix"}, "items": items}))
+    one, two = classify.load_rules(str(tmp_path / "v.json"))
+    assert (one.regex, one.cwe, two.keyword) == (["(?i)call\\{"], ["CWE-841"], [])
+    df = spark.createDataFrame([("a", "T", "they RE-ENTER by CALL{", "reentrancy"), ("b", None, None, None)], "k string, title string, description string, type string")
+    got = {(r.k, r.rule_id): r.score for r in classify.scores(df, "k", {"title": F.col("title"), "description": F.col("description")}, F.col("type"), [one, two]).collect()}
+    assert got == {("a", "S-1"): 6.5, ("a", "S-2"): 0.0, ("b", "S-1"): 0.0, ("b", "S-2"): 0.0}
+
+
+def test_issue_dump_in_order(spark, tmp_path):
+    lines = [{"issue_no": n, "repo_url": "https://github.com/o/r", "title": f"t{n}", "body": "b", "labels": [{"name": "low"}], "opened_at": "2024-01-01T00:00:00Z"} for n in (9, 2, 5)]
+    (tmp_path / "i.json").write_text("\n".join(map(json.dumps, lines)))
+    got = issues.ordered_sections(files.read_issues(spark, str(tmp_path / "i.json"))).orderBy("place").collect()
+    assert [(r.place, r.idx) for r in got] == [(1, 2), (2, 5), (3, 9)]
+
+
+def test_windows_of_event_time(spark, tmp_path):
+    from auditlake.streaming.ingest import windowed_counts
+
+    rows = [("2024-01-01 01:00:00", "a"), ("2024-01-01 23:00:00", "a"), ("2024-01-02 01:00:00", "b")]
+    spark.createDataFrame(rows, "at string, k string").withColumn("at", F.col("at").cast("timestamp")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("at timestamp, k string").parquet(str(tmp_path / "in"))
+    counts = windowed_counts(stream, "at", "k")
+    counts.writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert {(str(r.window_start)[:10], r.k, r.n) for r in spark.table("windows").collect()} == {("2024-01-01", "a", 2), ("2024-01-02", "b", 1)}
