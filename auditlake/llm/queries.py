@@ -127,6 +127,18 @@ UNION
 SELECT 'finding', scvd_id FROM findings WHERE length(description_md) > {FINDING_LIMIT}
 """
 
+P5_FOUND = """
+WITH RECURSIVE f AS (SELECT DISTINCT scvd_id, lower(coalesce(title, '') || ' ' || description_md || ' ' || coalesce(recommendation_md, '')) AS t FROM findings WHERE description_md IS NOT NULL),
+w AS (SELECT scvd_id, regexp_extract_all(t, '[a-z0-9_]+') AS words FROM f),
+r AS (SELECT DISTINCT scvd_id, unnest([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)]) AS run FROM w),
+n AS (SELECT scvd_id, count(*) AS n FROM r GROUP BY scvd_id),
+o AS (SELECT a.scvd_id AS a, b.scvd_id AS b, count(*) AS shared FROM r a JOIN r b ON a.run = b.run AND a.scvd_id < b.scvd_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.scvd_id = a JOIN n y ON y.scvd_id = b WHERE 5 * shared > 3 * (x.n + y.n - shared)),
+linked AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+c AS (SELECT a AS node, b AS reach FROM linked UNION SELECT c.node, linked.b FROM c JOIN linked ON c.reach = linked.a)
+SELECT node AS scvd_id_a, reach AS scvd_id_b FROM c WHERE node < reach
+"""
+
 _MISSING = ", ".join(f"'{w}'" for w in survivors.MISSING)
 P6_FOUND = f"""
 WITH RECURSIVE f AS (
@@ -157,4 +169,4 @@ QUALIFY row_number() OVER (PARTITION BY root_id, field_name ORDER BY
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_FOUND, "p6_found": P6_FOUND}
+    return {"p3_found": P3_FOUND, "p5_found": P5_FOUND, "p6_found": P6_FOUND}
