@@ -140,7 +140,7 @@ SELECT node AS scvd_id_a, reach AS scvd_id_b FROM c WHERE node < reach
 """
 
 _MISSING = ", ".join(f"'{w}'" for w in survivors.MISSING)
-P6_FOUND = f"""
+_P6_USABLE = f"""
 WITH RECURSIVE f AS (
   SELECT scvd_id, any_value(duplicate_of) AS parent, any_value(origin) AS origin,
          any_value(provenance.scvd_normalized_at)::TIMESTAMPTZ AS ts,
@@ -162,11 +162,21 @@ usable AS (
   WHERE words <> '' AND words NOT IN ({_MISSING}) AND NOT regexp_matches(trim(value), '^<[\\w .-]*>$')
     AND (field_name <> 'commit_sha' OR (regexp_matches(lower(trim(value)), '^[0-9a-f]{{7,64}}$') AND NOT regexp_matches(trim(value), '^0+$')))
     AND (field_name <> 'repo_url' OR NOT regexp_matches(trim(value), '^[A-Za-z][A-Za-z0-9+.-]*:/*$')))
+"""
+P6_FOUND = f"""{_P6_USABLE}
 SELECT root_id, field_name, scvd_id FROM usable JOIN linked USING (scvd_id)
 QUALIFY row_number() OVER (PARTITION BY root_id, field_name ORDER BY
   CASE origin WHEN 'native' THEN 1 WHEN 'pdf' THEN 2 WHEN 'issue' THEN 3 ELSE 4 END, ts DESC NULLS LAST, scvd_id) = 1
 """
+P6_RECORDS = f"""{_P6_USABLE},
+v AS (SELECT root_id, field_name, value, lower(trim(value)) AS norm, scvd_id, ts, CASE origin WHEN 'native' THEN 3.0 WHEN 'pdf' THEN 2.0 WHEN 'issue' THEN 1.0 ELSE 0.5 END::DOUBLE AS trust FROM usable JOIN linked USING (scvd_id)),
+b AS (SELECT *, round(trust * pow(0.5, greatest(coalesce((epoch_us((SELECT max(ts) FROM f)) - epoch_us(ts)) / 86400e6, 3650.0), 0.0) / 365.0), 9) AS vote,
+  row_number() OVER (PARTITION BY root_id, field_name, norm ORDER BY trust DESC, ts DESC NULLS LAST, scvd_id) AS best FROM v),
+s AS (SELECT root_id, field_name, norm, round(sum(vote), 6) AS votes, max(value) FILTER (best = 1) AS value FROM b GROUP BY ALL),
+w AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY root_id, field_name ORDER BY votes DESC, norm) = 1)
+SELECT root_id, {", ".join(f"max(value) FILTER (field_name = '{n}') AS {n}" for n in survivors.FINDING_FIELDS)} FROM w GROUP BY root_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_FOUND, "p5_found": P5_FOUND, "p6_found": P6_FOUND}
+    return {"p3_found": P3_FOUND, "p5_found": P5_FOUND, "p6_found": P6_FOUND, "p6_records": P6_RECORDS}
