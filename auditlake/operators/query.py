@@ -16,6 +16,11 @@ from auditlake.functions import text as T
 PAGE, MOST = 100, 500
 
 
+# What a text search looks at in the flat table, and in nested records.
+FLAT_TEXTS = ("title", "description_md", "recommendation_md", "poc_md")
+RECORD_TEXTS = ("title", "description_md", "full_markdown", "sections.description_md", "sections.full_markdown_body", "sections.markdown_raw")
+
+
 @dataclass
 class Search:
     """Conditions that all must hold; an empty one doesn't restrict.
@@ -35,11 +40,13 @@ class Search:
     repo: str | None = None
     since: str | None = None
     until: str | None = None
+    #: Columns that q is sought in, joined by blanks; records of the pipeline have more than the flat table.
+    texts: tuple[str, ...] = FLAT_TEXTS
 
     def predicate(self) -> Column:
         parts: list[Column] = []
         if self.q:
-            texts = F.filter(F.array("title", "description_md", "recommendation_md", "poc_md"), lambda x: x.isNotNull() & (x != ""))
+            texts = F.filter(F.array(*self.texts), lambda x: x.isNotNull() & (x != ""))
             parts.append(F.lower(F.array_join(texts, " ")).contains(self.q.lower()))
         for value, column in ((self.swc, F.col("taxonomy.swc")), (self.cwe, F.col("taxonomy.cwe"))):
             if value:

@@ -25,8 +25,19 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     return files.select(doc_id(path, root).alias("doc_id"), path.alias("path"), F.col("_metadata.file_modification_time").alias("source_mtime"), F.col("value").alias("markdown"))
 
 
+def discovered(spark: SparkSession, root: str, kinds: tuple[str, ...] = ("pdf", "md")) -> DataFrame:
+    """(doc_id, path, kind, source_mtime, size) of all documents below root, in the order of their paths; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    named = files.select(doc_id(F.col("path"), root).alias("doc_id"), "path", kind.alias("kind"), F.col("modificationTime").alias("source_mtime"), F.col("length").alias("size"))
+    return named.where(F.col("kind").isin(*kinds)).orderBy("path")
+
+
 def read_documents(spark: SparkSession, root: str, convert: Callable[[bytes], str] | None = None, pattern: str = "*.pdf") -> DataFrame:
-    """(doc_id, path, markdown) of binary documents by a converter, which the caller brings."""
+    """(doc_id, path, markdown, error) of binary documents by a converter, which the caller brings.
+
+    A document that can't be converted has no markdown but says why; the others go on.
+    """
     if convert is None:
         raise ValueError("no converter from documents to Markdown is configured")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
@@ -34,11 +45,18 @@ def read_documents(spark: SparkSession, root: str, convert: Callable[[bytes], st
     def run(batches):
         import pandas as pd
 
+        def one(content: bytes) -> tuple[str | None, str | None]:
+            try:
+                return convert(content), None
+            except Exception as e:  # noqa: BLE001 - the converter is outside of the job
+                return None, f"{type(e).__name__}: {e}"
+
         for part in batches:
-            yield pd.DataFrame({"path": part["path"], "markdown": [convert(bytes(c)) for c in part["content"]]})
+            rows = [(p, *one(bytes(c))) for p, c in zip(part["path"], part["content"])]
+            yield pd.DataFrame(rows, columns=["path", "markdown", "error"], dtype=object)
 
-    done = files.select("path", "content").mapInPandas(run, "path string, markdown string")
-    return done.select(doc_id(F.col("path"), root).alias("doc_id"), "path", "markdown")
+    done = files.select("path", "content").mapInPandas(run, "path string, markdown string, error string")
+    return done.select(doc_id(F.col("path"), root).alias("doc_id"), "path", "markdown", "error")
 
 
 def output_path(doc: Column, kind: str) -> Column:

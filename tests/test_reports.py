@@ -95,6 +95,9 @@ def test_records_of_a_report(spark):
     r = got[0]
     assert (r.scvd_id, r.title, r.severity, r.severity_source, r.finding_id) == ("SCVD-d-001", "Reentrancy in vault", "High", "id_prefix", "H-01")
     assert r.target.path == "src/Vault.sol" and r.repo.name == "r" and r.repo.commit_sha == "1234567" and r.status.fixed_in_commit == "abcdef1234"
+    frame = pipeline.finding_records(spark.createDataFrame(rows, REPORT), "2025-01-01T00:00:00Z")
+    assert frame.where(query.Search(q="GUARD IT", texts=query.RECORD_TEXTS).predicate()).count() == 1 and frame.where(query.Search(q="absent words", texts=query.RECORD_TEXTS).predicate()).count() == 0
+    assert frame.select(T.preferred(F.lit(""), F.col("sections.recommendation_md"))).first()[0].startswith("**Recommendation:**")
     assert r.description_md.startswith("**Description:**") and r.sections.impact_md == "" and r.provenance.source_pdf == "d.pdf"
 
 
@@ -207,6 +210,12 @@ def test_small_sources(spark, tmp_path):
     assert spark.range(1).select(files.output_path(F.lit("x-v2.0"), "json")).first()[0] == "x-v2.0.json"
     (tmp_path / "p.pdf").write_bytes(b"%PDF")
     assert files.read_documents(spark, str(tmp_path), lambda b: b.decode()).first().markdown == "%PDF"
+    broken = files.read_documents(spark, str(tmp_path), lambda b: 1 / 0).first()
+    assert broken.markdown is None and broken.error.startswith("ZeroDivisionError")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "z.md").write_text("z")
+    (tmp_path / "a.MD").write_text("a")
+    assert [(r.doc_id, r.kind) for r in files.discovered(spark, str(tmp_path)).collect()] == [("a", "md"), ("b_z", "md"), ("p", "pdf")]
     with pytest.raises(ValueError):
         files.read_documents(spark, str(tmp_path))
 
