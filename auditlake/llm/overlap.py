@@ -2,9 +2,10 @@
 
 T-occurrence search over inverted lists. A partner of a record with n distinct runs shares at least T of them. Runs
 are ordered from rare to frequent; the T - COUNT most frequent ones are the record's long lists, the others its short
-lists, so a partner stands on at least COUNT short lists. Short lists are merged shard by shard, occurrences are
-counted for each pair over all shards, and for pairs that occur often enough the long lists are probed by binary
-search until the whole overlap is known.
+lists, so a partner stands on at least COUNT short lists. Short lists are merged shard by shard, pairs whose
+signatures differ in more places than linked sets can are dropped there, occurrences of the others are counted for
+each pair over all shards, and for pairs that occur often enough the long lists are probed by binary search until the
+whole overlap is known.
 """
 
 from __future__ import annotations
@@ -29,12 +30,16 @@ COUNT = 4
 #: Counters of the frequency sketch; it fixes the order of runs and which lists are split, never the result.
 SKETCH_BITS = 20
 SLICES = 16
-#: Postings for one shard; a task merges one shard at a time.
-SHARD_POSTINGS = 1_000_000
+#: Postings for one shard; a task merges one shard at a time, and each shard has the signatures of its sets.
+SHARD_POSTINGS = 3_000_000
+#: Bits of a set's signature, each the parity of the runs that fall on it: two sets have at least as many different runs as bits.
+SIGN_BITS = 512
+#: A list longer than LONG_LIST is merged in cells, whose sizes differ by less than this factor.
+LONG_LIST, CELL = 32, 1.05
 #: Postings of one list from which it is split into blocks, each pair of which is merged by itself.
 LIST_POSTINGS = 1 << 18
 #: Pairs looked at in one vector operation.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Chosen records up to this many (some 100 bytes each) go to every task; more meet the texts by shuffle.
 BROADCAST_ROWS = 100_000
 #: Texts of one slice; their numbers fit 16 bits.
@@ -167,12 +172,19 @@ def in_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tuple[n
     return at, name, np.where(low == high, 2, own > other)
 
 
+def signatures(hashes: np.ndarray, place: np.ndarray, sets: int) -> np.ndarray:
+    """One row of 64-bit words for each set."""
+    bits = (mixed(hashes + _A) % np.uint64(SIGN_BITS)).astype(np.int64)
+    odd = np.bincount(place * SIGN_BITS + bits, minlength=sets * SIGN_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(sets, SIGN_BITS), axis=1).view("<u8")
+
+
 def postings(texts: DataFrame, order: object, run: int, shards: int, list_postings: int) -> DataFrame:
     """(shard, sets, runs): per slice and shard, the sets with short lists there and their postings, packed.
 
-    Equal sets of a slice are combined before the shuffle. A set is its class id and size (12 bytes, with the
-    posting's side), a posting a list (32 bits, which can only add candidates), the set's place in the blob and the
-    run's rank in it: 8 to 20 bytes a posting, however many shards there are.
+    Equal sets of a slice are combined before the shuffle. A set is its class id, size and signature (76 bytes, with
+    the posting's side, in each shard that has a list of it), a posting a list (32 bits, which can only add
+    candidates), the set's place in the blob and the run's rank in it (8 bytes).
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,6 +202,7 @@ def postings(texts: DataFrame, order: object, run: int, shards: int, list_postin
             hashes = hashes[np.repeat(keep, sizes)]
             ids, sizes = ids[keep], sizes[keep]
             place = np.repeat(np.arange(len(ids)), sizes)
+            signs = signatures(hashes, place, len(ids))
             often = ranks[(hashes & mask).astype(np.int64)]
             by_rank = np.argsort((place << 8 | often).astype(np.uint32), kind="stable")  # equally frequent ones stay by hash
             rank = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -207,7 +220,7 @@ def postings(texts: DataFrame, order: object, run: int, shards: int, list_postin
             out = []
             for a, b in zip(cuts, cuts[1:]):
                 used, local = np.unique(place[a:b] << 2 | side[a:b], return_inverse=True)
-                head = ids[used >> 2].astype("<u8"), (sizes[used >> 2] << 2 | used & 3).astype("<u4")
+                head = ids[used >> 2].astype("<u8"), (sizes[used >> 2] << 2 | used & 3).astype("<u4"), signs[used >> 2]
                 body = lists[a:b].astype("<u4"), local.astype("<u2"), np.minimum(rank[a:b], 65_535).astype("<u2")
                 out.append((int(shard[a]), *(b"".join(x.tobytes() for x in xs) for xs in (head, body))))
             yield pd.DataFrame(out, columns=["shard", "sets", "runs"])
@@ -215,38 +228,69 @@ def postings(texts: DataFrame, order: object, run: int, shards: int, list_postin
     return texts.select("t").mapInPandas(pack, "shard int, sets binary, runs binary")
 
 
+def meetings(lists: np.ndarray, n: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Postings (a, b) of one list with n[a] <= n[b] and n[a] <= reach[b], each pair once, and few with n[b] > reach[a].
+
+    Cells of like size within a list are ordered by falling reach, so that a posting's partners in a cell are one
+    stretch of it; a list that isn't long is one cell.
+    """
+    long, most = np.bincount(lists)[lists] > LONG_LIST, int(n.max())
+    cell, top = (np.where(long, np.log(x) // np.log(CELL), 0).astype(np.int64) for x in (n, np.clip(reach, n, most)))
+    cells, span = lists * (int(top.max()) + 1) + cell, most + 1
+    order = np.lexsort((-reach, cells))
+    keys = cells[order] * span + most - np.clip(reach[order], 0, most)
+    smaller = order[(reach >= n)[order]]
+    for step in range(int((top - cell).max()) + 1):
+        smaller = smaller[cell[smaller] + step <= top[smaller]]
+        first = (cells[smaller] + step) * span
+        low, high = np.searchsorted(keys, first), np.searchsorted(keys, first + most - n[smaller], side="right")
+        ends, at = np.cumsum(high - low), 0
+        while at < len(smaller):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+            c = high[at:upto] - low[at:upto]
+            a = np.repeat(smaller[at:upto], c)
+            b = order[np.arange(len(a)) + np.repeat(low[at:upto] - np.cumsum(c) + c, c)]
+            at = upto
+            if not step:
+                once = (n[a] < n[b]) | ((n[a] == n[b]) & (a < b))
+                a, b = a[once], b[once]
+            yield a, b
+
+
 def merged(sets: list[bytes], runs: list[bytes], count: int = COUNT) -> tuple[np.ndarray, ...]:
     """(a, b, occurrences, least) of the pairs of class ids that meet on one shard's short lists, a < b.
 
-    Within a list, ordered by size, only sizes that the threshold allows are paired, and only at ranks from which the
-    least overlap can still be reached; least is how often a pair has to occur over all shards.
+    Within a list only postings are paired whose sizes and ranks let the least overlap still be reached; of these
+    pairs, those stay whose signatures don't show that it isn't. least is how often a pair has to occur over all shards.
     """
-    heads = [(np.frombuffer(x, "<u8", len(x) // 12), np.frombuffer(x, "<u4", len(x) // 12, len(x) // 12 * 8)) for x in sets]
-    offset = np.cumsum([0, *(len(h[0]) for h in heads)])
+    words = SIGN_BITS // 64
+    numbers = [len(x) // (12 + 8 * words) for x in sets]
+    heads = [(np.frombuffer(x, "<u8", k), np.frombuffer(x, "<u4", k, 8 * k), np.frombuffer(x, "<u8", k * words, 12 * k).reshape(k, words)) for x, k in zip(sets, numbers)]
+    offset = np.cumsum([0, *numbers])
     parts = [(np.frombuffer(x, "<u4", len(x) // 8), np.frombuffer(x, "<u2", len(x) // 8, len(x) // 2).astype(np.int64) + offset[k], np.frombuffer(x, "<u2", len(x) // 8, len(x) // 8 * 6)) for k, x in enumerate(runs)]
     run, place, rank = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    ids, same = np.unique(np.concatenate([h[0] for h in heads]), return_inverse=True)
+    ids, one, same = np.unique(np.concatenate([h[0] for h in heads]), return_index=True, return_inverse=True)
+    signs = np.concatenate([h[2] for h in heads])[one]
     size = np.concatenate([h[1] for h in heads]).astype(np.int64)
     n, side, place, rank = size[place] >> 2, size[place] & 3, same[place], rank.astype(np.int64)
-    order = np.lexsort((place, n, run))
+    order = np.lexsort((place, run))
     order = order[np.r_[True, (run[order][1:] != run[order][:-1]) | (place[order][1:] != place[order][:-1])]]  # copies from several slices stand once
-    run, place, rank, n, side = run[order], place[order], rank[order], n[order], side[order]
-    lists = np.cumsum(np.r_[0, run[1:] != run[:-1]])
-    span = int(n.max()) + 1
-    until = np.searchsorted(lists * span + n, lists * span + np.minimum(n * DENOMINATOR // NUMERATOR, span - 1), side="right")
-    later = until - np.arange(len(run)) - 1
-    ends, at, found = np.cumsum(later), 0, []
-    while at < len(run):
-        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
-        c = later[at:upto]
-        a = np.repeat(np.arange(at, upto), c)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
-        at = upto
+    lists = np.cumsum(np.r_[0, run[order][1:] != run[order][:-1]])
+    met = np.bincount(lists)[lists] > 1
+    order, lists = order[met], lists[met]
+    place, rank, n, side = place[order], rank[order], n[order], side[order]
+    # of the first ``count`` shared runs, at most count - 1 lie before this one
+    most = n - rank + np.minimum(rank, count - 1)
+    reach = (most * (NUMERATOR + DENOMINATOR) - 1) // NUMERATOR - n
+    found = []
+    for a, b in meetings(lists, n, reach) if len(lists) else ():
         need = least_overlap(n[a], n[b])
-        # of the first ``count`` shared runs, at most count - 1 lie before this one
         before = np.minimum(np.minimum(rank[a], rank[b]), count - 1)
         ok = (np.minimum(n[a] - rank[a], n[b] - rank[b]) + before >= need) & ((side[a] == 2) | (side[a] != side[b]))
-        x, y, need = place[a[ok]], place[b[ok]], np.minimum(need[ok], count)
+        a, b, need = a[ok], b[ok], need[ok]
+        x, y = place[a], place[b]
+        ok = np.bitwise_count(signs[x] ^ signs[y]).sum(1, dtype=np.int64) <= n[a] + n[b] - 2 * need
+        x, y, need = x[ok], y[ok], np.minimum(need[ok], count)
         found.append(np.stack([np.minimum(x, y) * len(ids) + np.maximum(x, y), need]))
     pairs, first, times = np.unique(np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)]), return_index=True, return_counts=True)
     least = np.concatenate([f[1] for f in found] or [np.empty(0, np.int64)])[first]
@@ -309,8 +353,9 @@ def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int =
     """
     spark = texts.sparkSession
     order, total = spark.sparkContext.broadcast(sketch[0]), sketch[1]
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shards = max(parts, total * (DENOMINATOR - NUMERATOR) // DENOMINATOR // shard_postings)
+    cores = spark.sparkContext.defaultParallelism
+    shards = max(2 * cores, total * (DENOMINATOR - NUMERATOR) // DENOMINATOR // shard_postings)
+    parts = max(cores, shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, tuple[list, list]] = {}
@@ -322,7 +367,7 @@ def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int =
         for s in list(waiting):
             a, b, times, least = merged(*waiting.pop(s))
             for k in range(0, len(a), CHUNK):
-                yield pd.DataFrame(packed_pairs(a[k : k + CHUNK], b[k : k + CHUNK], times[k : k + CHUNK], least[k : k + CHUNK], shards), columns=["part", "pairs"])
+                yield pd.DataFrame(packed_pairs(a[k : k + CHUNK], b[k : k + CHUNK], times[k : k + CHUNK], least[k : k + CHUNK], parts), columns=["part", "pairs"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, list[bytes]] = {}
@@ -334,7 +379,7 @@ def candidate_pairs(texts: DataFrame, sketch: tuple[np.ndarray, int], run: int =
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     met = postings(texts, order, run, shards, list_postings).repartitionById(shards, "shard").mapInPandas(merge, "part int, pairs binary")
-    return met.repartitionById(shards, "part").mapInPandas(count, "a long, b long")
+    return met.repartitionById(parts, "part").mapInPandas(count, "a long, b long")
 
 
 def overlap_links(df: DataFrame, key: str, text: Column, run: int = RUN, **sizes: int) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,23 @@ def test_overlap_against_brute_force(spark):
     assert overlap.group_pairs(overlap.overlap_groups(df.where("false"), "id", F.col("t")), "id").count() == 0
 
 
+def test_meetings_that_cannot_link_stay_in_their_shard(spark):
+    """Texts of one small vocabulary meet on many short lists; only pairs that may be linked leave the shard."""
+    rng = np.random.default_rng(5)
+    lists, n = np.sort(rng.integers(0, 6, 900)) ** 3 // 9, rng.integers(1, 300, 900)
+    reach = n * 5 // 3 - rng.integers(0, 200, 900)
+    want = {(a, b) for a in range(900) for b in range(900) if lists[a] == lists[b] and (n[a], a) < (n[b], b) and n[b] <= reach[a] and n[a] <= reach[b]}
+    got = [(a, b) for x, y in overlap.meetings(lists, n, reach) for a, b in zip(x.tolist(), y.tolist())]
+    assert len(set(got)) == len(got) and want <= set(got) and len(got) < 1.3 * len(want)
+    rare = " ".join(f"rare{k}" for k in range(40))
+    own = [" ".join(f"{chr(97 + t)}{k}" for k in range(150)) for t in range(12)]
+    texts = [f"{rare} {x}" for x in own] + [f"{rare} {own[0]} more words here"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    # with no order of runs known, a part of the 38 that all texts share is on short lists
+    assert overlap.candidate_pairs(df.select("t"), (np.zeros(1 << 20, np.uint8), 2000)).count() == 1
+    assert {tuple(r) for r in overlap.group_pairs(overlap.overlap_groups(df, "id", F.col("t")), "id").collect()} == {(0, 12)}
+
+
 # 6: survivors
 
 
