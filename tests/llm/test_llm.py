@@ -127,6 +127,13 @@ def test_residue_goes_and_short_paragraphs_stay():
     assert markup.Cleaner.between_surge_and_dive("a\n\n--\n--\n\nb\n--") == "a\n\nb\n--"
 
 
+def test_residue_with_letters_goes():
+    clean = markup.Cleaner()
+    left = "One.\n\n\\documentclass[a4]{article}\n\\usepackage{x}\n\nfee=0\n\n\\begin{tabular}{|l|p{3cm}|}\n\\end{tabular}\n\nwidth=10% class=\"wide\"\n\nNo\n\n    width=10\n\n{l} x\n\n```\n{ll}\n```"
+    assert clean(left) == ("One.\n\nfee=0\n\nNo\n\n    width=10\n\n{l} x\n\n```\n{ll}\n```", ["latex"])
+    assert clean("The width=10 of `a`\n\nset class=x here")[0] == "The width=10 of `a`\n\nset class=x here"
+
+
 def test_markup_table(spark):
     df = spark.createDataFrame([(1, "<i>x</i>", "c"), (2, None, "c"), (3, "", "c"), (4, "a" * 200_000, "c")], "id int, text string, clean string")
     got = {r.id: r.markups for r in markup.clean_texts(df, "text").collect()}
